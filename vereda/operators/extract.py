@@ -41,8 +41,9 @@ def article_title(article: Column) -> Column:
 
 def paragraphs(article: Column) -> Column:
     """Texts of the p elements in order; an unclosed one ends at the next."""
-    raw = F.regexp_extract_all(article, F.lit(r"(?is)<p\b[^>]*>(.*?)(?=</p>|<p\b|</article>|$)"), F.lit(1))
-    return F.transform(raw, inner_text)
+    opened = F.split(article, r"(?i)<p\b[^>]*>")
+    pieces = F.slice(opened, F.lit(2), F.size(opened))
+    return F.transform(pieces, lambda p: inner_text(F.regexp_replace(p, r"(?is)</p>.*", "")))
 
 
 def after_marker(texts: Column, markers: list[str]) -> Column:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from vereda.functions.numeric import coerce_double, map_values
 from vereda.functions.text import is_blank
-from vereda.operators.stats import attach_row, medians
+from vereda.operators.stats import attach_row, column_facts, medians
 
 # fixed values: preferred indicators, and columns that are never features
 PREFERRED_INDICATORS = [
@@ -38,13 +38,11 @@ def require_rows(df: DataFrame, message: str = "DataFrame is empty") -> DataFram
     return df
 
 
-def require_some_value(df: DataFrame, cols: list[str]) -> DataFrame:
+def require_some_value(cols: list[str], facts) -> None:
     """Reject columns that hold no usable value at all."""
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
-    bad = [c for c in cols if counts[c] == 0]
+    bad = [c for i, c in enumerate(cols) if facts[f"n_{i}"] == 0]
     if bad:
         raise ValueError(f"Columns with all null values: {bad}")
-    return df
 
 
 def require_classes(df: DataFrame, label: str, at_least: int = 2) -> DataFrame:
@@ -138,12 +136,20 @@ def coerce_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: coerce_double(F.col(c)) for c in cols})
 
 
+def filled_columns(df: DataFrame, cols: list[str], facts) -> dict[str, Column]:
+    """Expressions that replace missing numbers by the column's exact median.
+    Columns without a gap cost nothing."""
+    gaps = [c for i, c in enumerate(cols) if facts[f"n_{i}"] < facts["rows"]]
+    middle = medians(df, gaps, rows=facts["rows"]).first() if gaps else {}
+    return {
+        c: F.coalesce(coerce_double(F.col(c)), F.lit(middle[c])) if c in gaps else coerce_double(F.col(c))
+        for c in cols
+    }
+
+
 def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
     """Coerce to numbers and replace missing values by the exact median."""
-    out = attach_row(df, medians(df, cols), "_med")
-    return out.withColumns(
-        {c: F.coalesce(coerce_double(F.col(c)), F.col(f"_med.{c}")) for c in cols}
-    ).drop("_med")
+    return df.withColumns(filled_columns(df, cols, column_facts(df, cols)))
 
 
 def impute_zero(df: DataFrame, cols: list[str]) -> DataFrame:

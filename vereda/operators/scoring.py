@@ -10,38 +10,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from vereda.functions.numeric import coerce_double, minmax, threshold_label
-from vereda.operators.quality import impute_median, require_columns, require_some_value
-from vereda.operators.scaling import minmax_scale, range_row
-from vereda.operators.stats import attach_row, column_struct, medians
+from vereda.operators.quality import filled_columns, require_columns, require_some_value
+from vereda.operators.stats import attach_row, column_facts, column_struct, medians
 
+from vereda.session import materialize
 
-def indicator_frame(df: DataFrame, cols: list[str], impute: bool = True) -> DataFrame:
-    """The indicators as doubles, medians in place of missing values."""
+
+def indicator_columns(df: DataFrame, cols: list[str], impute: bool = True):
+    """(facts, expressions): the indicators as doubles, medians in place of
+    missing values. Costs one pass, and one more only if something is missing."""
     require_columns(df, cols, "indicator columns")
-    x = df.select(*[coerce_double(F.col(c)).alias(c) for c in cols])
+    facts = column_facts(df, cols)
     if not impute:
-        return x
-    require_some_value(x, cols)
-    return impute_median(x, cols)
+        return facts, {c: coerce_double(F.col(c)) for c in cols}
+    require_some_value(cols, facts)
+    return facts, filled_columns(df, cols, facts)
 
 
-def correlation_row(x: DataFrame, cols: list[str]) -> DataFrame:
+def correlation_row(x: DataFrame, cols: list[str], gaps: set[str] | None = None) -> DataFrame:
     """One row, one pass: ``sd_<i>`` and, per pair i < j, ``r_<i>_<j>``.
 
-    Correlations are pairwise complete; an undefined one counts as 0.
-    Columns are numbered, so any column name is safe.
+    Correlations are pairwise complete; an undefined one counts as 0. ``gaps``
+    names the columns that may hold nulls (all, if not given): only a pair with
+    a gap needs deviations of its own. Columns are numbered, so any column name
+    is safe.
     """
-    sd = [F.stddev_pop(c).alias(f"sd_{i}") for i, c in enumerate(cols)]
-    pairs = []
-    for i, a in enumerate(cols):
-        for j in range(i + 1, len(cols)):
-            b = cols[j]
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            sd_a = F.stddev_pop(F.when(both, F.col(a)))
-            sd_b = F.stddev_pop(F.when(both, F.col(b)))
-            r = F.try_divide(F.covar_pop(a, b), sd_a * sd_b)
-            pairs.append(F.coalesce(r, F.lit(0.0)).alias(f"r_{i}_{j}"))
-    return x.agg(*sd, *pairs)
+    gaps = set(cols) if gaps is None else gaps
+    k = len(cols)
+    numbered = x.select(*[F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(cols)])
+
+    def deviation(i, j):
+        """Of column i over the rows where column j is present."""
+        return f"stddev_pop(if(x{j} is null, null, x{i}))" if cols[j] in gaps else f"stddev_pop(x{i})"
+
+    return numbered.selectExpr(
+        *[f"stddev_pop(x{i}) as sd_{i}" for i in range(k)],
+        *[
+            f"coalesce(try_divide(covar_pop(x{i}, x{j}), {deviation(i, j)} * {deviation(j, i)}), 0D) as r_{i}_{j}"
+            for i in range(k)
+            for j in range(i + 1, k)
+        ],
+    )
 
 
 def critic_weights(
@@ -57,44 +66,29 @@ def critic_weights(
     decide. ``on_zero`` says what weights become when no indicator varies:
     ``uniform`` or ``null``.
     """
-    x = indicator_frame(df, cols, impute)
-    if normalize:
-        x = minmax_scale(x, cols, "")
-    row = correlation_row(x, cols)
-    k = len(cols)
-
-    def conflict(i):
-        total = F.lit(0.0)
-        for j in range(k):
-            if j != i:
-                total = total + (1 - F.col(f"r_{min(i, j)}_{max(i, j)}"))
-        return total
-
-    scored = row.select(
-        *[
-            column_struct(
-                ["indicator", "std", "conflict", "score"],
-                [
-                    F.lit(c),
-                    F.coalesce(F.col(f"sd_{i}"), F.lit(0.0)),
-                    conflict(i),
-                    F.greatest(F.coalesce(F.col(f"sd_{i}"), F.lit(0.0)) * conflict(i), F.lit(0.0)),
-                ],
-            ).alias(f"s_{i}")
-            for i, c in enumerate(cols)
-        ]
+    facts, x = indicator_columns(df, cols, impute)
+    gaps = set() if impute else {c for i, c in enumerate(cols) if facts[f"n_{i}"] < facts["rows"]}
+    k = range(len(cols))
+    # correlations do not depend on scale, so min-max values need no second pass
+    spans = [float((facts[f"hi_{i}"] or 0.0) - (facts[f"lo_{i}"] or 0.0)) if normalize else 1.0 for i in k]
+    disagreement = {i: " + ".join(f"(1 - r_{min(i, j)}_{max(i, j)})" for j in k if j != i) or "0D" for i in k}
+    row = correlation_row(df.select(*[x[c].alias(c) for c in cols]), cols, gaps).selectExpr(
+        *[f"coalesce(try_divide(sd_{i}, {spans[i]!r}D), 0D) as std_{i}" for i in k],
+        *[f"{disagreement[i]} as conflict_{i}" for i in k],
     )
-    total = sum((F.col(f"s_{i}.score") for i in range(k)), F.lit(0.0))
-    rows = scored.select(total.alias("total"), F.explode(F.array(*[f"s_{i}" for i in range(k)])).alias("s"))
-    fallback = F.lit(1.0 / k) if on_zero == "uniform" else F.lit(None).cast("double")
-    return rows.select(
-        "s.indicator",
-        "s.std",
-        "s.conflict",
-        "s.score",
-        F.when(F.col("total") > 0, F.try_divide(F.col("s.score"), F.col("total")))
-        .otherwise(fallback)
-        .alias("weight"),
+    scored = row.selectExpr("*", *[f"greatest(std_{i} * conflict_{i}, 0D) as score_{i}" for i in k])
+    totals = scored.selectExpr("*", " + ".join(f"score_{i}" for i in k) + " as total")
+    entries = [
+        column_struct(
+            ["indicator", "std", "conflict", "score"],
+            [F.lit(c), F.col(f"std_{i}"), F.col(f"conflict_{i}"), F.col(f"score_{i}")],
+        )
+        for i, c in enumerate(cols)
+    ]
+    fallback = F.lit(1.0 / len(cols)) if on_zero == "uniform" else F.lit(None).cast("double")
+    return totals.select("total", F.inline(F.array(*entries))).select(
+        "indicator", "std", "conflict", "score",
+        F.when(F.col("total") > 0, F.try_divide("score", "total")).otherwise(fallback).alias("weight"),
     )
 
 
@@ -109,24 +103,18 @@ def weight_row(weights: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def weighted_parts(df: DataFrame, weights: DataFrame, cols: list[str]) -> DataFrame:
-    """``df`` with ``_part``: a struct of weight times min-max value per indicator."""
-    require_columns(df, cols, "indicator columns")
-    require_some_value(df.select(*[coerce_double(F.col(c)).alias(c) for c in cols]), cols)
-    filled = attach_row(df, medians(df, cols), "_med")
-    filled = filled.withColumn(
-        "_x",
-        column_struct(
-            cols, [F.coalesce(coerce_double(F.col(c)), F.col(f"_med.{c}")) for c in cols]
-        ),
-    )
-    # a median lies inside the range of its column, so imputing first is not needed
-    out = attach_row(filled, range_row(df, cols), "_r")
-    out = attach_row(out, weight_row(weights, cols), "_w")
+    """``df`` with ``_part``: a struct of weight times min-max value per indicator.
+
+    A median lies inside the range of its column, so the range of the usable
+    values is the range after imputation.
+    """
+    facts, x = indicator_columns(df, cols)
+    out = attach_row(df, weight_row(weights, cols), "_w")
     parts = [
-        F.col(f"_w.{c}") * minmax(F.col(f"_x.{c}"), F.col(f"_r.{c}.lo"), F.col(f"_r.{c}.hi"))
-        for c in cols
+        F.col(f"_w.{c}") * minmax(x[c], F.lit(facts[f"lo_{i}"]), F.lit(facts[f"hi_{i}"]))
+        for i, c in enumerate(cols)
     ]
-    return out.withColumn("_part", column_struct(cols, parts)).drop("_med", "_x", "_r", "_w")
+    return out.withColumn("_part", column_struct(cols, parts)).drop("_w")
 
 
 def weighted_score(
@@ -162,8 +150,8 @@ def balanced_label(
 def critic_summary(df: DataFrame, cols: list[str], threshold: float | None = None, **options):
     """(labelled rows, summary). The summary has one row per indicator with its
     weight, and on each the threshold, the row count and the positive rate."""
-    weights = critic_weights(df, cols, **options)
-    scored = weighted_score(df, weights, cols)
+    weights = materialize(critic_weights(df, cols, **options), "weights")
+    scored = materialize(weighted_score(df, weights, cols), "scored")
     labelled = balanced_label(scored, threshold=threshold, threshold_col="_threshold")
     facts = labelled.agg(
         F.max("_threshold").alias("threshold"),

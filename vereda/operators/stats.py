@@ -71,16 +71,31 @@ def running_totals(
     )
 
 
-def medians(df: DataFrame, cols: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def column_facts(df: DataFrame, cols: list[str]):
+    """One pass, one row on the driver: ``rows`` and per numbered column
+    ``n_<i>``, ``lo_<i>``, ``hi_<i>`` over its usable numbers."""
+    numbers = df.select(*[coerce_double(F.col(c)).alias(f"x{i}") for i, c in enumerate(cols)])
+    per_column = [
+        f"{fn}(x{i}) as {name}_{i}"
+        for i in range(len(cols))
+        for fn, name in (("count", "n"), ("min", "lo"), ("max", "hi"))
+    ]
+    return numbers.selectExpr("count(*) as rows", *per_column).first()
+
+
+def medians(
+    df: DataFrame, cols: list[str], rows_per_task: int = ROWS_PER_TASK, rows: int | None = None
+) -> DataFrame:
     """Exact interpolated medians as a one-row table with the columns ``cols``.
 
     ``median`` keeps every distinct value of a column in one buffer, so it is
     used only when the row count is within ``rows_per_task``. Larger inputs take
     a mergeable quantile sketch first, whose error bound brackets the middle,
     then count the rows below the bracket and rank only the values inside it.
+    ``rows`` saves the counting pass when the caller knows the row count.
     """
     x = df.select(*[coerce_double(F.col(c)).alias(c) for c in cols])
-    if x.count() <= rows_per_task:
+    if (x.count() if rows is None else rows) <= rows_per_task:
         return x.agg(*[F.median(c).alias(c) for c in cols])
 
     accuracy = 10_000
