@@ -29,6 +29,15 @@ HTML_ENTITIES = [
 ]
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    An expression used inside a lambda is otherwise computed for every element
+    the lambda visits, which is quadratic for arrays made from a text.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not only the space character."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -73,15 +82,17 @@ def ngrams(tokens: Column, n: int) -> Column:
     """All runs of ``n`` consecutive tokens of one document."""
     if n == 1:
         return tokens
-    starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-    return F.when(
-        F.size(tokens) >= n,
-        F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+    return bind(
+        tokens,
+        lambda t: F.when(
+            F.size(t) >= n,
+            F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: F.array_join(F.slice(t, i, n), " ")),
+        ).otherwise(F.array().cast("array<string>")),
+    )
 
 
 def ngram_range(tokens: Column, low: int, high: int) -> Column:
-    return F.concat(*[ngrams(tokens, n) for n in range(low, high + 1)])
+    return bind(tokens, lambda t: F.concat(*[ngrams(t, n) for n in range(low, high + 1)]))
 
 
 def join_nonempty(tokens: Column) -> Column:
@@ -119,7 +130,10 @@ def trigrams(c: Column) -> Column:
     """Character trigrams of the lower-cased text with white space collapsed
     and one space of padding on both sides; empty for blank text."""
     t = F.concat(F.lit(" "), collapse_spaces(F.lower(F.coalesce(c, F.lit("")))), F.lit(" "))
-    starts = F.sequence(F.lit(1), F.length(t) - 2)
-    return F.when(F.length(t) >= 3, F.transform(starts, lambda i: F.substring(t, i, F.lit(3)))).otherwise(
-        F.array().cast("array<string>")
-    )
+
+    def runs(chars):
+        n = F.greatest(F.size(chars) - 2, F.lit(0))
+        pairs = F.zip_with(F.slice(chars, 1, n), F.slice(chars, 2, n), lambda a, b: F.concat(a, b))
+        return F.zip_with(pairs, F.slice(chars, 3, n), lambda ab, c: F.concat(ab, c))
+
+    return bind(F.split(t, ""), runs)

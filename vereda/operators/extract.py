@@ -49,10 +49,11 @@ def paragraphs(article: Column) -> Column:
 def after_marker(texts: Column, markers: list[str]) -> Column:
     """The paragraph after the last one that is exactly a marker, else ''.
     An exact match keeps "Consejos" from passing for "Cons"."""
-    follows = F.transform(
+    follows = tx.bind(
         texts,
-        lambda t, i: F.when(
-            t.isin(*markers) & (i + 1 < F.size(texts)), F.get(texts, i + 1)
+        lambda all_texts: F.transform(
+            all_texts,
+            lambda t, i: F.when(t.isin(*markers) & (i + 1 < F.size(all_texts)), F.get(all_texts, i + 1)),
         ),
     )
     hits = F.filter(follows, lambda t: t.isNotNull())

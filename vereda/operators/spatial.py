@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vereda.functions import geo
+from vereda.functions.text import bind
 from vereda.operators.stats import attach_row
 from vereda.session import materialize
 
@@ -203,9 +204,9 @@ def nearest_node(
         # widened by a hair so that rounding never drops the true answer
         bound = F.array_min(F.transform("_all", lambda c: c["far"])) * F.lit(1 + 1e-9)
         step = materialize(
-            reached.withColumn("_bound", bound).select(
+            reached.select(
                 "_q", "_qx", "_qy",
-                F.expr("filter(_all, c -> c.near <= _bound)").alias("_kept"),
+                bind(bound, lambda b: F.filter("_all", lambda c: c["near"] <= b)).alias("_kept"),
             ),
             "descent",
         )

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from vereda.functions import text as tx
 from vereda.operators.quality import require_columns, require_rows
-from vereda.operators.stats import attach_row
 
 # fixed values: the columns a review and a segment carry
 REVIEW_REQUIRED = ["company", "review_title", "pros", "cons"]
@@ -78,16 +77,14 @@ def ngram_summary(
 ) -> DataFrame:
     """(lang, size, term, n, rank): the top n-grams of every size and language
     out of one scan and one shuffle."""
-    tokens = tx.word_tokens(F.col(text))
-    tagged = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    tx.ngrams(tokens, s), lambda g, s=s: F.struct(F.lit(s).alias("size"), g.alias("term"))
-                )
-                for s in sizes
-            ]
+
+    def sized(tokens, size):
+        return F.transform(
+            tx.ngrams(tokens, size), lambda g: F.struct(F.lit(size).alias("size"), g.alias("term"))
         )
+
+    tagged = tx.bind(
+        tx.word_tokens(F.col(text)), lambda tokens: F.concat(*[sized(tokens, size) for size in sizes])
     )
     counts = (
         df.where(F.col(lang).isin(*langs))
