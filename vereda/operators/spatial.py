@@ -221,7 +221,7 @@ def nearest_node(
             .select("_q", "_qx", "_qy", F.inline("_cells"))
             .join(placed.select(cx.alias("cx"), cy.alias("cy"), "x", "y", "_node"), ["cx", "cy"])
         )
-        d = F.hypot(F.col("x") - qx, F.col("y") - qy)
+        d = F.sqrt((F.col("x") - qx) * (F.col("x") - qx) + (F.col("y") - qy) * (F.col("y") - qy))
         resolved.append(found.select("_q", F.struct(d.alias("distance"), F.col("_node").alias("node")).alias("_best")))
         live = some(False)
         if live.isEmpty():
