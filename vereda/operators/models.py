@@ -22,7 +22,9 @@ from vereda.functions import text as tx
 from vereda.operators import evaluation as ev
 from vereda.operators.quality import drop_blank, drop_missing, require_classes, require_columns
 from vereda.operators.sampling import assign_folds, split_stratified
+from vereda.operators.stats import attach_row
 from vereda.operators.tfidf import fit_vocabulary
+from vereda.session import materialize
 
 SEED = 42
 
@@ -77,7 +79,7 @@ def evaluate(model: Model, df: DataFrame, label: str = "label") -> DataFrame:
     metrics = ev.binary_metrics(scored, label, "y_pred")
     if "score" not in scored.columns:
         return metrics.withColumn("roc_auc", F.lit(None).cast("double"))
-    return ev.attach_row(metrics, ev.roc_auc(scored, label, "score").select("roc_auc"), "_a").select(
+    return attach_row(metrics, ev.roc_auc(scored, label, "score").select("roc_auc"), "_a").select(
         *metrics.columns, "_a.roc_auc"
     )
 
@@ -178,11 +180,26 @@ def text_classifier_job(
     split = split_stratified(usable, id_col, label)
     model = text_classifier(split.where("not is_test"), text, label, **options)
     rows = model.transform(split.where("is_test")).select(
-        id_col, F.col(text).alias("text"), F.col(label).alias("y_true"), "y_pred"
+        id_col, F.col(text).alias("text"), F.col(label).cast("string").alias("y_true"), "y_pred"
     )
     return model, rows, ev.macro_metrics(rows, "y_true", "y_pred")
 
 
+def text_cross_validate(
+    df: DataFrame, id_col: str, text: str, label: str, k: int = 5, **options
+) -> DataFrame:
+    """(fold, accuracy, ..., f1_macro): vocabulary, idf and model per fold."""
+    folds = materialize(assign_folds(usable_text(df.select(id_col, text, label), text, label), id_col, label, k), "folds")
+    rows = []
+    for i in range(k):
+        model = text_classifier(folds.where(F.col("fold") != i), text, label, **options)
+        scored = model.transform(folds.where(F.col("fold") == i))
+        # labels are compared as text, as the classifier returns them
+        row = ev.macro_metrics(scored.withColumn("_y", F.col(label).cast("string")), "_y", "y_pred")
+        rows.append(row.select(F.lit(i).alias("fold"), "*"))
+    return ev.union_all(rows)
+
+
 def routed_sentiment(
     df: DataFrame, models: dict[str, PipelineModel], lang: str = "language", prefix: str = "model"
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from vereda.operators import attribution as at, evaluation as ev, models as md, scoring as sc
 from vereda.operators.quality import area_key, require_rows, resolve_features
 from vereda.operators.sampling import split_stratified
+from vereda.operators.stats import attach_row
 from vereda.session import materialize
 
 
@@ -39,7 +40,7 @@ def run(
         F.max("critic_threshold").alias("threshold"), F.count("*").alias("labelled_rows"),
         F.avg("target").alias("positive_rate"),
     )
-    summary = ev.attach_row(weights.select("indicator", "weight"), facts, "_f").select("indicator", "weight", "_f.*")
+    summary = attach_row(weights.select("indicator", "weight"), facts, "_f").select("indicator", "weight", "_f.*")
     chosen = labelled.drop("critic_threshold") if target not in df.columns else scored
     final = sc.ensure_label(df, chosen, target).withColumn("suitability_score", F.col("nprv_score"))
     if target in df.columns:
@@ -54,7 +55,7 @@ def run(
     metrics, roc, importances, attributions = [], [], [], []
     for name, model in fitted.items():
         cv = ev.fold_summary(md.cross_validate_f1(estimators[name], train, "ageb_id", k=folds))
-        row = ev.attach_row(md.evaluate(model, test), cv, "_cv")
+        row = attach_row(md.evaluate(model, test), cv, "_cv")
         tag = F.lit(name).alias("model")
         metrics.append(row.select(tag, "*", "_cv.*").drop("_cv"))
         roc.append(ev.roc_points(md.predictions(model, test), "label", "score").select(tag, "*"))

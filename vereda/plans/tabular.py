@@ -8,6 +8,7 @@ from vereda.operators import evaluation as ev, models as md
 from vereda.operators.quality import drop_duplicates, map_label, require_columns, require_rows
 from vereda.operators.sampling import split_random
 from vereda.operators.scaling import zscore_scale
+from vereda.operators.stats import attach_row
 from vereda.session import materialize
 
 # fixed values: codes of the text label
@@ -42,6 +43,6 @@ def run(
     rows = []
     for name, model in md.train_all(estimators, train).items():
         cv = ev.fold_summary(md.cross_validate_f1(estimators[name], train, id_col, k=folds, seed=None))
-        row = ev.attach_row(md.evaluate(model, test), cv, "_cv")
+        row = attach_row(md.evaluate(model, test), cv, "_cv")
         rows.append(row.select(F.lit(name).alias("model"), "*", "_cv.*").drop("_cv"))
     return ev.union_all(rows)
