@@ -10,7 +10,7 @@ from vereda.functions import text as tx
 from vereda.operators import attribution as at, evaluation as ev, models as md, scoring as sc
 from vereda.operators.sampling import split_stratified
 from vereda.plans import areas, tabular
-from vereda.session import materialize, scratch_path
+from vereda.session import materialize, scratch_path, spread
 
 catalog = Catalog()
 
@@ -20,7 +20,7 @@ TEXT_COLS = ["n_chars", "n_words", "n_distinct", "n_lines"]
 def document_facts(spark, sf):
     """Numbers about every labelled document, with its quality as M or B."""
     words = tx.word_tokens(F.col("text"))
-    facts = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(
+    facts = spread(table(spark, sf, "documents"), "doc_id").join(table(spark, sf, "labels"), "doc_id").select(
         "doc_id", "n_chars", F.size(words).alias("n_words"), F.size(F.array_distinct(words)).alias("n_distinct"),
         F.size(F.split("text", "\n")).alias("n_lines"),
         F.when(F.col("quality") == 1, "M").otherwise("B").alias("diagnosis"),
@@ -88,7 +88,7 @@ def shapley_summary(spark, sf):
 
 def labelled_text(spark, sf, label):
     labels = table(spark, sf, "labels").select("doc_id", label)
-    return table(spark, sf, "documents").select("doc_id", "lang", "text").join(labels, "doc_id")
+    return spread(table(spark, sf, "documents"), "doc_id").select("doc_id", "lang", "text").join(labels, "doc_id")
 
 
 @catalog.add()
@@ -111,7 +111,7 @@ def routed_sentiment(spark, sf):
         lang: md.text_classifier(known.where(F.col("lang") == lang), "text", "quality", max_features=1000)
         for lang in ("en", "es")
     }
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = spread(table(spark, sf, "documents"), "doc_id").select("doc_id", "lang", "text")
     return md.routed_sentiment(docs, models, "lang").select("doc_id", "lang", "model_label", "model_score")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W, functions as F
 from bindings.common import Catalog, r6, table
 from vereda.functions import text as tx
 from vereda.operators import extract as ex, language as lg, lexicon as lx, quality as q, text as tt, tfidf as tf
-from vereda.session import materialize
+from vereda.session import materialize, spread
 
 catalog = Catalog()
 
@@ -20,7 +20,7 @@ SPACE_TOKENS = "list_filter(regexp_split_to_array({0}, '\\s+'), lambda t: t <> '
 
 
 def docs(spark, sf):
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
 @catalog.add(
@@ -320,7 +320,7 @@ select page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) as company, review
 from parts where review_title <> ''
 """)
 def extract_articles(spark, sf):
-    blocks = ex.articles(table(spark, sf, "pages"))
+    blocks = ex.articles(spread(table(spark, sf, "pages"), "page_id"))
     texts = blocks.select(
         "page_id", F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("company"),
         ex.article_title(F.col("article")).alias("review_title"), ex.paragraphs(F.col("article")).alias("p"),
@@ -339,12 +339,12 @@ from blocks where contains(a, '<h1')
 """)
 def extract_reviews(spark, sf):
     """The pages hold no pros or cons markers, so both texts stay empty."""
-    return ex.extract_reviews(table(spark, sf, "pages")).select("page_id", "review_title", "pros", "cons")
+    return ex.extract_reviews(spread(table(spark, sf, "pages"), "page_id")).select("page_id", "review_title", "pros", "cons")
 
 
 @catalog.add(f"select page_id, md5({_unescaped_sql('html')}) as unescaped from pages")
 def html_entities(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.md5(tx.unescape_html(F.col("html"))).alias("unescaped"))
+    return spread(table(spark, sf, "pages"), "page_id").select("page_id", F.md5(tx.unescape_html(F.col("html"))).alias("unescaped"))
 
 
 @catalog.add("""
@@ -357,7 +357,7 @@ select page_id, cast(n as integer) as page_number,
 from pages, range(1, 6) r(n)
 """)
 def page_urls(spark, sf):
-    return ex.page_urls(table(spark, sf, "pages").select("page_id", "url"), "url", 5).select(
+    return ex.page_urls(spread(table(spark, sf, "pages"), "page_id").select("page_id", "url"), "url", 5).select(
         "page_id", "page_number", "page_url"
     )
 

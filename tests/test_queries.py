@@ -40,6 +40,9 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
     expected = result.fetchall()
     assert sorted(df.columns) == sorted(columns)
     assert as_rows(df.columns, df.collect()) == as_rows(columns, expected)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for costly in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas"):
+        assert costly not in plan
 
 
 def test_every_sql_has_a_query():

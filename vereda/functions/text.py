@@ -82,13 +82,15 @@ def ngrams(tokens: Column, n: int) -> Column:
     """All runs of ``n`` consecutive tokens of one document."""
     if n == 1:
         return tokens
-    return bind(
-        tokens,
-        lambda t: F.when(
-            F.size(t) >= n,
-            F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: F.array_join(F.slice(t, i, n), " ")),
-        ).otherwise(F.array().cast("array<string>")),
-    )
+
+    def runs(t):
+        m = F.greatest(F.size(t) - (n - 1), F.lit(0))
+        out = F.slice(t, 1, m)
+        for k in range(2, n + 1):
+            out = F.zip_with(out, F.slice(t, k, m), lambda a, b: F.concat(a, F.lit(" "), b))
+        return out
+
+    return bind(tokens, runs)
 
 
 def ngram_range(tokens: Column, low: int, high: int) -> Column:
@@ -130,10 +132,5 @@ def trigrams(c: Column) -> Column:
     """Character trigrams of the lower-cased text with white space collapsed
     and one space of padding on both sides; empty for blank text."""
     t = F.concat(F.lit(" "), collapse_spaces(F.lower(F.coalesce(c, F.lit("")))), F.lit(" "))
-
-    def runs(chars):
-        n = F.greatest(F.size(chars) - 2, F.lit(0))
-        pairs = F.zip_with(F.slice(chars, 1, n), F.slice(chars, 2, n), lambda a, b: F.concat(a, b))
-        return F.zip_with(pairs, F.slice(chars, 3, n), lambda ab, c: F.concat(ab, c))
-
-    return bind(F.split(t, ""), runs)
+    # every position starts a match; a position inside a surrogate pair does not
+    return F.regexp_extract_all(t, F.lit(r"(?s)(?=([^\x{DC00}-\x{DFFF}]..))"), F.lit(1))

@@ -89,39 +89,33 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, max_rounds: int | None =
     source, the distance and the node before it.
 
     ``arcs(u, v, cost)`` with positive costs, ``sources(node)``. Each round
-    relaxes only the arcs that leave nodes improved in the round before. Ties
-    go to the smaller source, then the smaller predecessor.
+    relaxes only the arcs that leave nodes improved in the round before, and
+    merges the offers into the state by one grouped minimum: partial minima are
+    formed before the shuffle, so a node with very many arcs is no hot spot.
+    Equal distances keep the earlier round, then the smaller source, then the
+    smaller predecessor.
     """
     arcs = materialize(arcs.select("u", "v", F.col("cost").cast("double").alias("cost")), "arcs")
-    first = F.struct(
-        F.lit(0.0).alias("dist"), F.col("node").alias("source"), F.lit(None).cast(arcs.schema["u"].dataType).alias("pred")
-    )
-    state = materialize(
-        sources.select("node").distinct().select("node", first.alias("s"), F.lit(0).alias("hops")), "paths"
-    )
+    kind = arcs.schema["u"].dataType
+
+    def label(dist, hops, source, pred):
+        return F.struct(dist.alias("dist"), hops.alias("hops"), source.alias("source"), pred.alias("pred")).alias("s")
+
+    node = F.col("node").cast(kind)
+    start = label(F.lit(0.0), F.lit(0), node, F.lit(None).cast(kind))
+    state = materialize(sources.select(node.alias("node"), start).distinct(), "paths")
     rounds = 0
     while max_rounds is None or rounds < max_rounds:
-        front = state.where(F.col("hops") == rounds)
+        front = state.where(F.col("s.hops") == rounds)
         if front.isEmpty():
             break
         rounds += 1
-        reach = (
-            front.select(F.col("node").alias("u"), F.col("s.dist").alias("d"), F.col("s.source").alias("source"))
-            .join(arcs, "u")
-            .groupBy(F.col("v").alias("node"))
-            .agg(F.min(F.struct((F.col("d") + F.col("cost")).alias("dist"), "source", F.col("u").alias("pred"))).alias("n"))
-        )
-        joined = state.join(reach, "node", "full_outer")
-        better = F.col("n").isNotNull() & (F.col("s").isNull() | (F.col("n.dist") < F.col("s.dist")))
-        state = materialize(
-            joined.select(
-                "node",
-                F.when(better, F.col("n")).otherwise(F.col("s")).alias("s"),
-                F.when(better, F.lit(rounds)).otherwise(F.col("hops")).alias("hops"),
-            ),
-            "paths",
+        offers = front.join(arcs, F.col("node") == F.col("u")).select(
+            F.col("v").alias("node"),
+            label(F.col("s.dist") + F.col("cost"), F.lit(rounds), F.col("s.source"), F.col("u")),
         )
-    return state.select("node", "s.dist", "s.source", "s.pred", "hops")
+        state = materialize(state.unionByName(offers).groupBy("node").agg(F.min("s").alias("s")), "paths")
+    return state.select("node", "s.dist", "s.source", "s.pred", "s.hops")
 
 
 def spanning_forest(pairs: DataFrame) -> DataFrame:
@@ -199,7 +193,7 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost") -
     if k < 2:
         raise ValueError("At least 2 valid terminals are required for Steiner tree synthesis")
 
-    paths = materialize(shortest_paths(arcs, valid), "paths")
+    paths = shortest_paths(arcs, valid)
     side = lambda n: paths.select(F.col("node").alias(n), F.col("dist").alias(f"d{n}"), F.col("source").alias(f"s{n}"))
     through = F.col("da") + F.col("cost") + F.col("db")
     bridges = (

@@ -48,6 +48,8 @@ def _smallest_share(df: DataFrame, group: str, id_col: str, share: float) -> Dat
             (F.col("need") - (F.col("cum") - F.col("n"))).alias("_k"),
         )
     )
+    # one row per group, written so that its size is known and the scan is not shuffled
+    cut = materialize(cut, "cut")
     edge = df.join(
         cut, F.col(group).eqNullSafe(F.col("_g")) & (F.substring("_d", 1, HEX_DIGITS) == F.col("_s"))
     ).select("_g", "_d", F.col(id_col).alias("_id"), "_k")

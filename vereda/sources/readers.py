@@ -18,8 +18,8 @@ NA_TOKENS = [
 ]
 
 
-def _csv_text(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
-    reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
+def _csv_text(spark: SparkSession, path: str, schema: StructType | None, multi_line: bool) -> DataFrame:
+    reader = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8")
     if schema is not None:
         text = StructType()
         for f in schema.fields:
@@ -28,8 +28,12 @@ def _csv_text(spark: SparkSession, path: str, schema: StructType | None) -> Data
     return reader.csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True
+) -> DataFrame:
     """A CSV file or folder with a header; quoted fields may hold line breaks.
+    Such files cannot be split, so a file is one task; turn ``multi_line`` off
+    for very large files without line breaks in fields.
 
     With a schema values are converted to it and unconvertible ones become
     NULL. Without one a single pass decides per column between long, double,
@@ -37,7 +41,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    text = _csv_text(spark, path, schema)
+    text = _csv_text(spark, path, schema, multi_line)
     clean = text.select(
         *[F.when(~F.col(f"`{c}`").isin(*NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in text.columns]
     )
