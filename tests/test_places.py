@@ -183,6 +183,17 @@ def test_steiner_is_a_tree_within_twice_the_optimum(spark, seed):
     assert sum(c for _, _, c in tree) <= 2 * best_steiner(pairs, terminals)
 
 
+def test_steiner_survives_distances_that_differ_by_rounding(spark):
+    # a 4 x 4 grid of equal decimal costs: sums differ in the last digit only
+    grid = [(r * 4 + c, r * 4 + c + 1, 0.1) for r in range(4) for c in range(3)]
+    grid += [(r * 4 + c, r * 4 + c + 4, 0.7) for r in range(3) for c in range(4)]
+    tree = gr.steiner_tree(pair_frame(spark, grid), spark.createDataFrame([(t,) for t in (0, 3, 12, 15)], "node_id long"))
+    pairs = [tuple(r) for r in tree.collect()]
+    nodes = {n for a, b, _ in pairs for n in (a, b)}
+    assert {0, 3, 12, 15} <= nodes and len(pairs) == len(nodes) - 1
+    assert sum(c for *_, c in pairs) == pytest.approx(2.7)
+
+
 def test_chains_and_rings(spark, rows):
     pairs = [(1, 2, 1.0), (2, 3, 2.0), (3, 4, 3.0), (3, 5, 1.0), (5, 6, 1.0), (10, 11, 1.0), (11, 12, 1.0), (10, 12, 1.0)]
     out = gr.contract_chains(spark.createDataFrame(pairs, "a long, b long, length double"))

@@ -90,3 +90,15 @@ def test_stateless_operators_on_a_stream(spark, tmp_path):
 def test_html_entities(spark):
     df = spark.createDataFrame([("&lt;b&gt; &amp;lt; &ntilde;",)], "t string")
     assert df.select(tx.unescape_html(F.col("t"))).first()[0] == "<b> &lt; ñ"
+
+
+def test_targets_and_replaced_table(spark, tmp_path, monkeypatch):
+    path = tmp_path / "targets.csv"
+    path.write_text('company,url\nA,"http://h/a,b.htm"\nB,http://h/b.html?x=1\n')
+    targets = readers.read_targets(spark, str(path))
+    assert [tuple(r) for r in targets.orderBy("company").collect()] == [("A", "http://h/a,b.htm"), ("B", "http://h/b.html?x=1")]
+    spark.sql(f"create database if not exists vereda_test location '{tmp_path}/db'")
+    for df in (targets, targets.limit(1)):
+        writers.replace_table(df, "vereda_test.targets")
+    assert readers.load_input(spark, "table:vereda_test.targets").count() == 1
+    spark.sql("drop database vereda_test cascade")

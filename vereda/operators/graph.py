@@ -170,6 +170,19 @@ def spanning_forest(pairs: DataFrame) -> DataFrame:
     return pairs.join(picked.distinct(), ["a", "b"], "left_semi")
 
 
+def ancestor_jumps(paths: DataFrame) -> list[DataFrame]:
+    """Tables (node, to) that lead 1, 2, 4, ... predecessors up and stop at the
+    source; the last one leads every node to its source."""
+    jumps = [materialize(paths.select("node", F.coalesce("pred", "node").alias("to")), "jump")]
+    while True:
+        last = jumps[-1]
+        step = last.join(last.select(F.col("node").alias("to"), F.col("to").alias("next")), "to")
+        doubled = materialize(step, "jump")
+        if doubled.where(F.col("next") != F.col("to")).isEmpty():
+            return jumps
+        jumps.append(doubled.select("node", F.col("next").alias("to")))
+
+
 def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost") -> DataFrame:
     """(a, b, cost): a tree that connects the terminals, at most twice as
     expensive as the best one (Mehlhorn 1988).
@@ -194,7 +207,12 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost") -
         raise ValueError("At least 2 valid terminals are required for Steiner tree synthesis")
 
     paths = shortest_paths(arcs, valid)
-    side = lambda n: paths.select(F.col("node").alias(n), F.col("dist").alias(f"d{n}"), F.col("source").alias(f"s{n}"))
+    jumps = ancestor_jumps(paths)
+    # a node belongs to the terminal its predecessors lead to, which also holds
+    # where rounding made two distances equal
+    owned = paths.select("node", "dist").join(jumps[-1].select("node", F.col("to").alias("owner")), "node")
+    owned = materialize(owned, "owned")
+    side = lambda n: owned.select(F.col("node").alias(n), F.col("dist").alias(f"d{n}"), F.col("owner").alias(f"s{n}"))
     through = F.col("da") + F.col("cost") + F.col("db")
     bridges = (
         pairs.join(side("a"), "a")
@@ -209,21 +227,11 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost") -
     if tree.count() != k - 1:
         raise ValueError("Terminals are not connected")
 
-    # all nodes between the bridge ends and their terminals, by path doubling
-    depth = paths.agg(F.max("hops")).first()[0]
+    # all nodes between the bridge ends and their terminals
     marked = tree.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    jump = paths.where(F.col("pred").isNotNull()).select("node", F.col("pred").alias("to"))
-    for i in range(max(1, math.ceil(math.log2(depth + 1)))):
-        if i:
-            jump = materialize(
-                jump.join(jump.select(F.col("node").alias("to"), F.col("to").alias("next")), "to").select(
-                    "node", F.col("next").alias("to")
-                ),
-                "jump",
-            )
-        marked = materialize(
-            marked.unionByName(marked.join(jump, "node").select(F.col("to").alias("node"))).distinct(), "marked"
-        )
+    for jump in jumps:
+        reached = marked.join(jump, "node").select(F.col("to").alias("node"))
+        marked = materialize(marked.unionByName(reached).distinct(), "marked")
     inner = (
         paths.join(marked, "node", "left_semi")
         .where(F.col("pred").isNotNull())
