@@ -50,7 +50,7 @@ def add_edge_cost(edges: DataFrame, by_node: DataFrame, out: str = "cost") -> Da
 def select_terminals(areas: DataFrame, k: int = 12, suitability: str = "suitability_score") -> DataFrame:
     """(node_id, rank): nodes of the k best areas, each once at its best rank."""
     if "nearest_node" not in areas.columns:
-        raise ValueError("Expected nearest_node column; map areas to nodes first.")
+        raise ValueError("areas carry no nearest_node; map them to nodes first")
     top = areas.orderBy(F.desc_nulls_last(suitability), "area_id").limit(k)
     # at most k rows from here on
     listed = top.agg(
@@ -195,7 +195,7 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost") -
     """
     distinct = terminals.select("node_id").distinct()
     if distinct.limit(2).count() < 2:
-        raise ValueError("At least 2 terminals are required for Steiner tree synthesis")
+        raise ValueError("a corridor needs two different terminals")
     pairs = materialize(undirected_min(edges, weight), "pairs")
     arcs = both_ways(pairs)
     valid = materialize(
@@ -204,7 +204,7 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost") -
     )
     k = valid.count()
     if k < 2:
-        raise ValueError("At least 2 valid terminals are required for Steiner tree synthesis")
+        raise ValueError("fewer than two terminals lie in the graph")
 
     paths = shortest_paths(arcs, valid)
     jumps = ancestor_jumps(paths)
@@ -225,7 +225,7 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost") -
     )
     tree = materialize(spanning_forest(bridges), "tree")
     if tree.count() != k - 1:
-        raise ValueError("Terminals are not connected")
+        raise ValueError("terminals are not connected")
 
     # all nodes between the bridge ends and their terminals
     marked = tree.select(F.explode(F.array("x", "y")).alias("node")).distinct()

@@ -28,11 +28,11 @@ AREA_KEYS = ["ageb_id", "cvegeo", "CVEGEO"]
 def require_columns(df: DataFrame, cols: Iterable[str], what: str = "columns") -> DataFrame:
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing {what}: {missing}")
+        raise ValueError(f"absent {what}: {missing}")
     return df
 
 
-def require_rows(df: DataFrame, message: str = "DataFrame is empty") -> DataFrame:
+def require_rows(df: DataFrame, message: str = "table has no rows") -> DataFrame:
     if df.isEmpty():
         raise ValueError(message)
     return df
@@ -42,14 +42,14 @@ def require_some_value(cols: list[str], facts) -> None:
     """Reject columns that hold no usable value at all."""
     bad = [c for i, c in enumerate(cols) if facts[f"n_{i}"] == 0]
     if bad:
-        raise ValueError(f"Columns with all null values: {bad}")
+        raise ValueError(f"columns without any usable value: {bad}")
 
 
 def require_classes(df: DataFrame, label: str, at_least: int = 2) -> DataFrame:
     """At least one usable row and ``at_least`` distinct labels."""
     found = df.where(F.col(label).isNotNull()).select(label).distinct().limit(at_least).count()
     if found == 0:
-        raise ValueError("No usable rows")
+        raise ValueError("no row carries a label")
     if found < at_least:
         raise ValueError(f"At least {at_least} classes are required")
     return df
@@ -66,7 +66,7 @@ def resolve_features(df: DataFrame, target: str, minimum: int = 4) -> list[str]:
         f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in excluded
     ]
     if len(numeric) < minimum:
-        raise ValueError(f"Need at least {minimum} numeric feature columns, found {numeric}")
+        raise ValueError(f"{minimum} numeric columns are needed as features, there are {numeric}")
     return numeric
 
 

@@ -42,7 +42,7 @@ def expand_reviews(df: DataFrame) -> DataFrame:
         column = F.col(name).try_cast(kind) if name in df.columns else F.lit(None).cast(kind)
         df = df.withColumn(name, column)
     out = unpivot_segments(df, list(SEGMENT_KEEPS), ["pros", "cons"])
-    return require_rows(out, "No pros/cons text found after expansion.")
+    return require_rows(out, "no review holds any pros or cons")
 
 
 def term_counts(df: DataFrame, terms: Column, keys: list[str]) -> DataFrame:

@@ -31,7 +31,7 @@ def run(
     df: DataFrame, target: str = "target", boost_rounds: int = 250, trees: int = 300, folds: int = 5,
     attribution_rows: int = 1000, permutations: int = 8,
 ) -> AreaResult:
-    df = area_key(require_rows(df, "Area dataset is empty"))
+    df = area_key(require_rows(df, "no areas given"))
     cols = resolve_features(df, target)
     weights = materialize(sc.critic_weights(df, cols), "weights")
     scored = materialize(sc.weighted_score(df, weights, cols), "scored")

@@ -23,11 +23,11 @@ def run(
     """Original edges of the corridor that connects the nodes of the k best
     areas. ``nodes(node_id, x, y)``, ``edges(u, v, key, length, ...)``,
     ``areas(area_id, rings, <suitability>)``, all in the same planar system."""
-    require_rows(areas, "No suitability rows found")
+    require_rows(areas, "no areas given")
     if clip:
         nodes, edges = gr.clip_graph(nodes, edges, areas)
     mapped = materialize(map_areas(areas, nodes).drop("rings"), "areas")
     weighted = materialize(gr.add_edge_cost(edges, gr.suitability_by_node(mapped, suitability)), "edges")
     terminals = gr.select_terminals(mapped, k, suitability)
     tree = gr.steiner_tree(weighted, terminals)
-    return require_rows(gr.corridor_edges(weighted, tree), "Corridor output is empty")
+    return require_rows(gr.corridor_edges(weighted, tree), "the corridor has no edges")
