@@ -128,3 +128,37 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     owner = np.searchsorted(np.cumsum(lengths), starts, side="right")
     return mixed(value ^ mixed((ends - starts).astype(np.uint64))), owner
+
+
+def slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of about ``most`` bytes of ``text`` (or one longer text)."""
+    for b in batches:
+        sizes = [len(t) if t else 0 for t in (x.as_buffer() if x.is_valid else None for x in b.column("text"))]
+        start, size = 0, 0
+        for i, n in enumerate(sizes):
+            if i > start and size + n > most:
+                yield b.slice(start, i - start)
+                start, size = i, 0
+            size += n
+        if start < b.num_rows:
+            yield b.slice(start)
+
+
+def stretches(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Groups of rows that are sorted by ``keys``, each whole."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        codes = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in keys])
+        heads = np.flatnonzero((np.diff(codes, axis=1) != 0).any(0)) + 1
+        for a, z in zip([0, *heads.tolist()], [*heads.tolist(), b.num_rows], strict=True):
+            key = tuple(codes[:, a])
+            if last is not None and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(a, z - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
