@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from vereda.llm import language_model, mixing, near_duplicates, repeats, sharding, token_counts
+from vereda.llm import decontamination, language_model, mixing, near_duplicates, repeats, sharding, token_counts, toxicity
 
-MODULES = [language_model, token_counts, near_duplicates, sharding, repeats, mixing]
+MODULES = [language_model, toxicity, token_counts, near_duplicates, sharding, decontamination, repeats, mixing]
 
 queries = {name: fn for m in MODULES for name, fn in m.catalog.queries.items()}
 sql = {name: text for m in MODULES for name, text in m.catalog.sql.items()}
