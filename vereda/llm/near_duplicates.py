@@ -245,16 +245,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         members.join(shared, "key").join(classes.select("node", F.col("n_shingles").alias("n"), "small"), "node"), "near-buckets"
     )
     sets = materialize(full_sets(docs, buckets.select("node").distinct()), "near-sets")
-    links, labels = None, None
-    for turn in range(5):
+    labels = None
+    steps = [lambda t, i=i: pivot_pairs(t, i) for i in range(2)] + [lambda t: cell_pairs(t, 4), lambda t: cell_pairs(t, None)]
+    for step in steps:
         now = buckets.withColumn("component", F.col("node")) if labels is None else buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        pairs = materialize(pivot_pairs(now, turn) if turn < 3 else cell_pairs(now, 4 if turn == 3 else None), "near-pairs")
-        found = confirmed(pairs, sets)
+        pairs = materialize(step(now), "near-pairs")
+        found = None if pairs.isEmpty() else materialize(confirmed(pairs, sets), "near-links")
+        if found is None or found.isEmpty():
+            continue
         # components so far stand in for the links that made them
-        so_far = labels.select(F.col("node").alias("a"), F.col("component").alias("b")) if labels is not None else None
-        links = found if so_far is None else found.union(so_far)
-        labels = materialize(components(links), "near-components")
+        if labels is not None:
+            found = found.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        labels = components(found)
     own = full.select("doc_id", "n_shingles", "k1", "k2").join(classes.select("k1", "k2", "n_shingles", "node"), ["k1", "k2", "n_shingles"])
+    if labels is None:
+        labels = classes.select("node", F.col("node").alias("component"))
     linked = own.join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     empty = table.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     blank = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
