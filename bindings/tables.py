@@ -32,6 +32,14 @@ def table_profile(spark, sf):
     return q.table_profile(labelled(spark, sf).select("text", "lang", "source", "n_chars", "quality"))
 
 
+@catalog.add("""
+select count(*) as total_rows, count(distinct (ts, user_id, event_type, value)) as distinct_rows,
+  count(*) - count(distinct (ts, user_id, event_type, value)) as duplicate_rows from events
+""")
+def duplicate_events(spark, sf):
+    return q.duplicate_count(table(spark, sf, "events").select("ts", "user_id", "event_type", "value"))
+
+
 @catalog.add("""
 with d as (select text, lang from documents)
 select count(*) as total_rows, (select count(*) from (select distinct * from d)) as distinct_rows,

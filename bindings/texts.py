@@ -7,7 +7,7 @@ from pyspark.sql import Window as W, functions as F
 from bindings.common import Catalog, r6, table
 from vereda.functions import text as tx
 from vereda.operators import extract as ex, language as lg, lexicon as lx, quality as q, text as tt, tfidf as tf
-from vereda.session import materialize, spread
+from vereda.session import materialize
 
 catalog = Catalog()
 
@@ -20,7 +20,7 @@ SPACE_TOKENS = "list_filter(regexp_split_to_array({0}, '\\s+'), lambda t: t <> '
 
 
 def docs(spark, sf):
-    return spread(table(spark, sf, "documents"), "doc_id")
+    return table(spark, sf, "documents")
 
 
 @catalog.add(
@@ -43,24 +43,15 @@ def text_markers(spark, sf):
 
 
 @catalog.add("""
-with pairs as (
-  select conv_id, turn // 2 as pair,
-    max(case when role = 'user' then text end) as u, max(case when role = 'assistant' then text end) as a
-  from conversations group by all)
-select conv_id, pair, 'user' as segment_label, regexp_replace(u, '^\\s+|\\s+$', '', 'g') as raw_text from pairs where regexp_matches(u, '\\S')
-union all
-select conv_id, pair, 'assistant', regexp_replace(a, '^\\s+|\\s+$', '', 'g') from pairs where regexp_matches(a, '\\S')
+select conv_id, turn, role as segment_label, regexp_replace(text, '^\\s+|\\s+$', '', 'g') as raw_text
+from conversations where role in ('user', 'assistant', 'system') and regexp_matches(text, '\\S')
 """)
 def segments_unpivot(spark, sf):
-    pairs = (
-        table(spark, sf, "conversations")
-        .groupBy("conv_id", F.expr("turn div 2").alias("pair"))
-        .agg(
-            F.max(F.when(F.col("role") == "user", F.col("text"))).alias("user"),
-            F.max(F.when(F.col("role") == "assistant", F.col("text"))).alias("assistant"),
-        )
+    roles = ["user", "assistant", "system"]
+    turns = table(spark, sf, "conversations").select(
+        "conv_id", "turn", *[F.when(F.col("role") == r, F.col("text")).alias(r) for r in roles]
     )
-    return tt.unpivot_segments(pairs, ["conv_id", "pair"], ["user", "assistant"])
+    return tt.unpivot_segments(turns, ["conv_id", "turn"], roles)
 
 
 def gram_sql(n: int) -> str:
@@ -320,7 +311,7 @@ select page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) as company, review
 from parts where review_title <> ''
 """)
 def extract_articles(spark, sf):
-    blocks = ex.articles(spread(table(spark, sf, "pages"), "page_id"))
+    blocks = ex.articles(table(spark, sf, "pages"))
     texts = blocks.select(
         "page_id", F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("company"),
         ex.article_title(F.col("article")).alias("review_title"), ex.paragraphs(F.col("article")).alias("p"),
@@ -339,12 +330,12 @@ from blocks where contains(a, '<h1')
 """)
 def extract_reviews(spark, sf):
     """The pages hold no pros or cons markers, so both texts stay empty."""
-    return ex.extract_reviews(spread(table(spark, sf, "pages"), "page_id")).select("page_id", "review_title", "pros", "cons")
+    return ex.extract_reviews(table(spark, sf, "pages")).select("page_id", "review_title", "pros", "cons")
 
 
 @catalog.add(f"select page_id, md5({_unescaped_sql('html')}) as unescaped from pages")
 def html_entities(spark, sf):
-    return spread(table(spark, sf, "pages"), "page_id").select("page_id", F.md5(tx.unescape_html(F.col("html"))).alias("unescaped"))
+    return table(spark, sf, "pages").select("page_id", F.md5(tx.unescape_html(F.col("html"))).alias("unescaped"))
 
 
 @catalog.add("""
@@ -357,7 +348,7 @@ select page_id, cast(n as integer) as page_number,
 from pages, range(1, 6) r(n)
 """)
 def page_urls(spark, sf):
-    return ex.page_urls(spread(table(spark, sf, "pages"), "page_id").select("page_id", "url"), "url", 5).select(
+    return ex.page_urls(table(spark, sf, "pages").select("page_id", "url"), "url", 5).select(
         "page_id", "page_number", "page_url"
     )
 

@@ -24,10 +24,10 @@ def linear_attribution(parts: DataFrame, id_col: str, cols: list[str], part: str
 
 
 def shapley_sampling(
-    df: DataFrame, model: Model, cols: list[str], id_col: str, max_rows: int = 1000, permutations: int = 8,
-    seed: int = 42, features: str = "features",
+    df: DataFrame, model: Model, cols: list[str], id_col: str, max_rows: int | None = None, permutations: int = 8,
+    seed: int = 42, features: str = "features", background: int = 1000,
 ) -> DataFrame:
-    """(id, feature, contribution) for at most ``max_rows`` rows.
+    """(id, feature, contribution) for all rows, or for ``max_rows`` of them.
 
     Each row meets ``permutations`` background rows and as many feature orders.
     The hybrids (a prefix of the order from the row, the rest from the
@@ -36,11 +36,12 @@ def shapley_sampling(
     to its score minus the mean score of its background rows.
     """
     k = len(cols)
-    rows = bounded_sample(df, id_col, max_rows, seed).select(
+    asked = df if max_rows is None else bounded_sample(df, id_col, max_rows, seed)
+    rows = asked.select(
         F.col(id_col).alias("_id"), vector_to_array(features).alias("x")
     )
-    # background rows in digest order: at most ``max_rows``, one aggregate
-    pool = bounded_sample(df, id_col, max_rows, seed + 1).select(vector_to_array(features).alias("b"))
+    # the background is a sample of bounded size, in one row
+    pool = bounded_sample(df, id_col, background, seed + 1).select(vector_to_array(features).alias("b"))
     pool = pool.agg(F.sort_array(F.collect_list("b")).alias("pool"))
     runs = attach_row(rows, pool, "_p").withColumn("p", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
 

@@ -6,7 +6,6 @@ short and a lost executor costs one round at most.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -156,9 +155,15 @@ def spanning_forest(pairs: DataFrame) -> DataFrame:
         root = point.join(back, "to", "left").select(
             "comp", F.when((F.col("back") == F.col("comp")) & (F.col("comp") < F.col("to")), F.col("comp")).otherwise(F.col("to")).alias("to")
         )
-        for _ in range(max(1, math.ceil(math.log2(live)))):
+        # pointers double per hop; each hop is a stored table, so the plan stays small
+        root = materialize(root, "root")
+        while True:
             hop = root.select(F.col("comp").alias("to"), F.col("to").alias("next"))
-            root = root.join(hop, "to", "left").select("comp", F.coalesce("next", "to").alias("to"))
+            hopped = root.join(hop, "to", "left").select("comp", F.col("to").alias("from"), F.coalesce("next", "to").alias("to"))
+            hopped = materialize(hopped, "root")
+            root = hopped.drop("from")
+            if hopped.where("from <> to").isEmpty():
+                break
         label = materialize(
             label.join(root, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "labels"
         )

@@ -52,17 +52,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/vereda/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-place the rows of a scan by ``keys`` when it has fewer files than
-    the session has cores, so that text work does not sit in a few tasks. Larger
-    inputs have splits enough and are returned as they are, without a shuffle.
-    Later grouping by the same keys reuses the placement."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(2 * cores, *keys)
-
-
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 

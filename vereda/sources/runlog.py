@@ -30,8 +30,19 @@ def leaf_paths(schema: StructType, prefix: str = "") -> list[tuple[str, object]]
     return out
 
 
-def _quoted(path: str) -> Column:
-    return F.col(".".join(f"`{p}`" for p in path.split(".")))
+def _numbers(schema: StructType, above: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
+    """Names from the top down to each numeric leaf; a name may hold dots."""
+    out: list[tuple[str, ...]] = []
+    for f in schema.fields:
+        if isinstance(f.dataType, StructType):
+            out.extend(_numbers(f.dataType, (*above, f.name)))
+        elif isinstance(f.dataType, NumericType):
+            out.append((*above, f.name))
+    return out
+
+
+def _quoted(names: tuple[str, ...]) -> Column:
+    return F.col(".".join("`" + n.replace("`", "``") + "`" for n in names))
 
 
 def flatten_metrics(payload: DataFrame, keys: list[str] = []) -> DataFrame:
@@ -39,9 +50,8 @@ def flatten_metrics(payload: DataFrame, keys: list[str] = []) -> DataFrame:
     The paths come from the schema, so one projection does it for any depth."""
     schema = StructType([f for f in payload.schema.fields if f.name not in keys])
     leaves = [
-        F.struct(F.lit(path).alias("path"), _quoted(path).cast("double").alias("value"))
-        for path, kind in leaf_paths(schema)
-        if isinstance(kind, NumericType)
+        F.struct(F.lit(".".join(names)).alias("path"), _quoted(names).cast("double").alias("value"))
+        for names in _numbers(schema)
     ]
     if not leaves:
         raise ValueError("payload has no numeric entry")
