@@ -144,11 +144,11 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories=CHAIN, most: int =
     found = sample.mapInArrow(run, "doc_id long, " + "".join(f"y_{i} double, " for i in range(k)) + "found array<string>")
     vectors = CountVectorizerModel.from_vocabulary(names, inputCol="found", outputCol="words").setBinary(True).transform(found)
     data = vectors.select(*kept, "words", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(FOLDS)).alias("fold"))
-    # a bounded number of short rows: four tasks an iteration are enough
-    data = materialize(data.coalesce(4), "toxic-data")
+    # a bounded number of short rows: one task an iteration is enough
+    data = materialize(data.coalesce(1), "toxic-data")
     for i in range(k):
         inputs = ["words", *(f"p_{j}" for j in range(i))]
-        rows = VectorAssembler(inputCols=inputs, outputCol="x").transform(data.coalesce(4))
+        rows = VectorAssembler(inputCols=inputs, outputCol="x").transform(data.coalesce(1))
 
         def fit(part, i=i):
             share = part.agg(F.avg(f"y_{i}")).first()[0]
