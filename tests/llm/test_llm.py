@@ -131,6 +131,19 @@ def test_near_duplicates(spark, docs, nothing):
     assert all(tuple(x)[1:] == want[x["doc_id"]] for x in got)
 
 
+def test_links_inside_a_cell():
+    r = np.random.default_rng(2)
+    pool = r.integers(0, 1 << 32, 6000, dtype=np.uint32)
+    sets = [r.choice(pool, n, replace=False) for n in (1, 40, 3000, 5000, 40)]
+    got = near_duplicates.common_prints([x.tobytes() for x in sets[:3]], [y.tobytes() for y in sets[3:]])
+    assert (got == [[len(np.intersect1d(x, y)) for y in sets[3:]] for x in sets[:3]]).all()
+    # two elements with one print count as two
+    same = np.array([7, 7, 9], np.uint32).tobytes()
+    assert near_duplicates.common_prints([same], [same]).tolist() == [[3]]
+    keep = near_duplicates.spanning(np.array([1, 2, 1, 4]), np.array([2, 3, 3, 1]))
+    assert keep.tolist() == [True, True, False, True]
+
+
 def test_sketch_fills_every_coordinate():
     values = np.arange(1, 4, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     cells = near_duplicates.sketches(values, np.array([0, 1, 1]), 3)

@@ -103,7 +103,8 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, n, members``: the sorted shingle hashes of the nodes' documents."""
+    """``node, n, members, prints``: the sorted shingle hashes of the nodes' documents,
+    and their upper halves."""
 
     def run(batches):
         for b in slices(batches):
@@ -111,10 +112,10 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             values, owners = shingle_sets(texts)
             sizes = np.bincount(owners, minlength=len(texts))
             parts = np.split(values, np.cumsum(sizes)[:-1])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["node", "n", "members"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([(p >> np.uint64(32)).astype(np.uint32).tobytes() for p in parts], pa.binary())], names=["node", "n", "members", "prints"])
 
     wanted = raw(docs).join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    return wanted.mapInArrow(run, "node long, n long, members binary").dropDuplicates(["node"])
+    return wanted.mapInArrow(run, "node long, n long, members binary, prints binary").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -181,23 +182,66 @@ def pivot_pairs(buckets: DataFrame, turn: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long").distinct()
 
 
-def cell_pairs(buckets: DataFrame, best: int | None) -> DataFrame:
-    """Candidates across components in all buckets that still have several.
+def common_prints(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """At least the number of elements that each set of ``x`` shares with each of ``y``,
+    from 32-bit prints of their elements."""
+    sizes = np.array([len(p) // 4 for p in x + y])
+    flat, owner = np.frombuffer(b"".join(x + y), np.uint32), np.repeat(np.arange(len(sizes)), sizes)
+    values, code = np.unique(flat, return_inverse=True)
+    mine = owner < len(x)
+    shared = np.zeros(len(values), bool)
+    shared[code[mine]] = True
+    shared[np.setdiff1d(np.arange(len(values)), code[~mine])] = False
+    number = np.cumsum(shared) - 1
+    held = shared[code]
+    code, owner = number[code[held]], owner[held]
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    out, width = np.zeros((len(x), len(y)), np.float32), 4096
+    for start in range(0, int(shared.sum()), width):
+        a, z = np.searchsorted(code, [start, start + width])
+        has = np.zeros((len(sizes), width), np.float32)
+        has[owner[a:z], code[a:z] - start] = 1
+        out += has[: len(x)] @ has[len(x) :].T
+    # elements of one set with equal prints were counted once
+    twice = np.array([n - len(np.unique(np.frombuffer(p, np.uint32))) for n, p in zip(sizes, x + y, strict=True)])
+    return out + np.minimum(twice[: len(x)][:, None], twice[len(x) :])
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the links ``a, b``, taken in order, join two groups."""
+    above: dict[int, int] = {}
+
+    def root(v: int) -> int:
+        while above.setdefault(v, v) != v:
+            above[v] = v = above[above[v]]
+        return v
+
+    keep = np.zeros(len(a), bool)
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = root(x), root(y)
+        if x != y:
+            above[x], keep[i] = y, True
+    return keep
+
+
+def cell_pairs(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links across components in all buckets that still have several.
 
     The members outside one component of the bucket meet all members, in cells of
-    at most two times ``CELL`` expected rows. Sketches are compared inside the
-    cell, and only pairs that may reach the similarity come out: all of them, or
-    the ``best`` ones of each member and foreign component.
+    at most two times ``CELL`` expected rows. The cell compares sketches, then the
+    prints of the elements of those that may be alike, and gives out only links
+    that join components: fewer than its rows, however many pairs it holds.
     """
     lead = buckets.groupBy("key").agg(
         F.min(F.struct(F.xxhash64(F.lit("lead"), "node").alias("h"), "component")).alias("p"), F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("m")
     ).where("low != high").select("key", F.col("p.component").alias("lead"), "m")
     rows = buckets.join(lead, "key")
     sides = rows.where("component != lead").groupBy("key").agg(F.count(F.lit(1)).alias("u"))
-    rows = rows.join(sides, "key")
+    rows = rows.join(sides, "key").join(sets.select("node", "prints"), "node")
     us, ms = F.ceil(F.col("u") / CELL).cast("int"), F.ceil(F.col("m") / CELL).cast("int")
     place = lambda n: F.pmod(F.xxhash64(F.lit("cell"), "node"), n).cast("int")
-    out = ["key", "node", "component", "n", "small"]
+    out = ["key", "node", "component", "n", "small", "prints"]
     everyone = rows.select(*out, F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0), us - 1)).alias("i"), place(ms).alias("j"))
     others = rows.where("component != lead").select(*out, F.lit(1).alias("side"), place(us).alias("i"), F.explode(F.sequence(F.lit(0), ms - 1)).alias("j"))
     cells = everyone.union(others).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
@@ -209,17 +253,18 @@ def cell_pairs(buckets: DataFrame, best: int | None) -> DataFrame:
             x, y = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
             if not len(x) or not len(y):
                 continue
-            same = alike(small[x], small[y])
-            ok = (same >= LEAST_EQUAL) & (comp[x][:, None] != comp[y][None, :])
+            ok = (alike(small[x], small[y]) >= LEAST_EQUAL) & (comp[x][:, None] != comp[y][None, :])
             ok &= np.minimum(n[x][:, None], n[y]) * 100 >= np.maximum(n[x][:, None], n[y]) * SIMILARITY
-            i, j = np.nonzero(ok)
-            if best is not None and len(i):
-                order = np.lexsort((-same[i, j], comp[y][j], i))
-                i, j = i[order], j[order]
-                new = np.concatenate([[True], (np.diff(i) != 0) | (np.diff(comp[y][j]) != 0)])
-                rank = np.arange(len(i)) - np.maximum.accumulate(np.where(new, np.arange(len(i)), 0))
-                i, j = i[rank < best], j[rank < best]
-            a, b = node[x][i], node[y][j]
+            x, y, ok = x[ok.any(1)], y[ok.any(0)], ok[ok.any(1)][:, ok.any(0)]
+            if not len(x):
+                continue
+            prints = cell.column("prints")
+            common = common_prints(prints.take(pa.array(x)).to_pylist(), prints.take(pa.array(y)).to_pylist())
+            i, j = np.nonzero(ok & (100 * common >= SIMILARITY * (n[x][:, None] + n[y] - common)))
+            order = np.argsort(-common[i, j], kind="stable")
+            i, j = i[order], j[order]
+            keep = spanning(comp[x][i], comp[y][j])
+            a, b = node[x][i[keep]], node[y][j[keep]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     return cells.mapInArrow(run, "a long, b long").distinct()
@@ -246,7 +291,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     sets = materialize(full_sets(docs, buckets.select("node").distinct()), "near-sets")
     labels = None
-    steps = [lambda t, i=i: pivot_pairs(t, i) for i in range(2)] + [lambda t: cell_pairs(t, 4), lambda t: cell_pairs(t, None)]
+    steps = [lambda t, i=i: pivot_pairs(t, i) for i in range(2)] + [lambda t: cell_pairs(t, sets)]
     for step in steps:
         now = buckets.withColumn("component", F.col("node")) if labels is None else buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         pairs = materialize(step(now), "near-pairs")
