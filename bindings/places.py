@@ -152,7 +152,7 @@ TRADE_SQL = """
 with recursive edges as (select c_nationkey as u, s_nationkey as v, o_orderpriority as key, 1000000 // (1 + count(*)) as length
   from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join supplier on l_suppkey = s_suppkey
   group by all),
-suit as (select c_nationkey as node_id, greatest(avg(cast(c_acctbal as decimal(18,2))) / 10000, 1e-6) as suitability from customer where c_mktsegment = 'BUILDING' group by 1),
+suit as (select c_nationkey as node_id, greatest(avg(cast(c_acctbal as decimal(18,2))) / 10000, 1e-6) as suitability from customer group by 1),
 costed as (select u, v, key, length, length * (1.0 / coalesce(suitability, 1e-6)) as cost from edges left join suit on node_id = u),
 pairs as (select least(u, v) as a, greatest(u, v) as b, min(cost) as cost from costed where u <> v group by all)
 """
@@ -180,7 +180,7 @@ def trade_edges(spark, sf):
 
 
 def trade_areas(spark, sf):
-    return table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(
+    return table(spark, sf, "customer").select(
         F.col("c_custkey").alias("area_id"), F.col("c_nationkey").alias("nearest_node"),
         (F.col("c_acctbal").cast("decimal(18,2)") / 10000).cast("double").alias("suitability_score"),
     )
@@ -202,7 +202,7 @@ def undirected_min(spark, sf):
 
 @catalog.add("""
 with top as (select c_nationkey as node_id, row_number() over (order by c_acctbal desc, c_custkey) as pos
-  from customer where c_mktsegment = 'BUILDING' qualify pos <= 12)
+  from customer qualify pos <= 12)
 select node_id, cast(min(pos) as integer) as rank from top group by node_id""")
 def top_terminals(spark, sf):
     return gr.select_terminals(trade_areas(spark, sf))

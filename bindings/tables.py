@@ -81,13 +81,21 @@ def usable_rows(spark, sf):
     return kept.select("doc_id", "quality")
 
 
-@catalog.add("select doc_id, coalesce(quality, cast(n_chars >= 1500 as integer)) as target from documents left join labels using (doc_id)")
+@catalog.add("""
+select 'given' as label, doc_id, quality as target from documents left join labels using (doc_id)
+union all select 'computed', doc_id, cast(n_chars >= 1500 as integer) from documents
+""")
 def canonical_label(spark, sf):
-    """The given label where there is one, else one computed from the length."""
+    """The label of a table that has one, and of the same table without it."""
     from vereda.functions.numeric import threshold_label
-
-    computed = threshold_label(F.col("n_chars"), F.lit(1500))
-    return labelled(spark, sf).select("doc_id", F.coalesce("quality", computed).alias("target"))
+    from vereda.operators.scoring import ensure_label
+
+    given = labelled(spark, sf).select("doc_id", "n_chars", "quality")
+    bare = table(spark, sf, "documents").select("doc_id", "n_chars")
+    computed = bare.withColumn("target", threshold_label(F.col("n_chars"), F.lit(1500)))
+    tables = [("given", ensure_label(given, given, "quality")), ("computed", ensure_label(bare, computed, "quality"))]
+    first, second = [t.select(F.lit(name).alias("label"), "doc_id", "target") for name, t in tables]
+    return first.union(second)
 
 
 @catalog.add("""

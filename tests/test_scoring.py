@@ -74,7 +74,9 @@ def test_medians_by_bracket_equal_plain(spark):
         F.when(F.col("id") % 2 == 0, F.col("id") * 1.0).alias("gaps"),
     )
     cols = ["u", "hot", "gaps"]
-    assert medians(df, cols, rows_per_task=100).first() == medians(df, cols).first()
+    plain = df.agg(*[F.median(c).alias(c) for c in cols]).first()
+    assert medians(df, cols, rows_per_task=100).first() == plain == medians(df, cols).first()
+    assert medians(df.limit(0), cols).first() == (None, None, None)
 
 
 def test_running_totals_in_ranges_equal_one_window(spark):

@@ -55,19 +55,25 @@ def require_classes(df: DataFrame, label: str, at_least: int = 2) -> DataFrame:
     return df
 
 
-def resolve_features(df: DataFrame, target: str, minimum: int = 4) -> list[str]:
-    """The preferred indicators when enough exist, else every numeric column
-    that is neither the target nor an identifier. Looks at the schema only."""
-    preferred = [c for c in PREFERRED_INDICATORS if c in df.columns]
-    if len(preferred) >= minimum:
-        return preferred
-    excluded = NEVER_FEATURES | {target}
-    numeric = [
-        f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in excluded
+def resolve_features(
+    df: DataFrame, target: str, minimum: int = 4, preferred: Iterable[str] = tuple(PREFERRED_INDICATORS),
+    never: Iterable[str] = frozenset(NEVER_FEATURES),
+) -> list[str]:
+    """The first choice of feature columns that has at least ``minimum`` of them.
+
+    Choices are the ``preferred`` names, then all numbers but ``target`` and
+    those in ``never``. Looks at the schema only.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+    barred = {target, *never}
+    choices = [
+        [name for name in preferred if name in kinds],
+        [name for name, kind in kinds.items() if isinstance(kind, NumericType) and name not in barred],
     ]
-    if len(numeric) < minimum:
-        raise ValueError(f"{minimum} numeric columns are needed as features, there are {numeric}")
-    return numeric
+    for found in choices:
+        if len(found) >= minimum:
+            return found
+    raise ValueError(f"too few feature columns: {minimum} are needed, the table offers {choices[-1]}")
 
 
 def area_key(df: DataFrame) -> DataFrame:
@@ -136,7 +142,7 @@ def filled_columns(df: DataFrame, cols: list[str], facts) -> dict[str, Column]:
     """Expressions that replace missing numbers by the column's exact median.
     Columns without a gap cost nothing."""
     gaps = [c for i, c in enumerate(cols) if facts[f"n_{i}"] < facts["rows"]]
-    middle = medians(df, gaps, rows=facts["rows"]).first() if gaps else {}
+    middle = medians(df, gaps).first() if gaps else {}
     return {
         c: F.coalesce(coerce_double(F.col(c)), F.lit(middle[c])) if c in gaps else coerce_double(F.col(c))
         for c in cols

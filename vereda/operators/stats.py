@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from vereda.functions.numeric import coerce_double
 from vereda.session import materialize
 
-# Rows one task may sort or hold for an exact order statistic.
+# Rows of a range that one task sorts.
 ROWS_PER_TASK = 2_000_000
 
 
@@ -44,21 +44,12 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<c>``: the total of ``c`` over rows with ``order`` up to this one.
 
-    ``order`` must be unique (aggregate by it first). Up to ``rows_per_task``
-    rows are summed in one window. Beyond that the rows are range-partitioned,
-    each range is summed by its own task and the totals of the ranges before it
-    are added, so no task sees more than its range.
+    ``order`` must be unique (aggregate by it first). The rows are cut into
+    ranges of about ``rows_per_task``, each range is summed by its own task and
+    the totals of the ranges before it are added, so no task sees more than its
+    range.
     """
-    rows = materialize(df, "ordered")
-    n = rows.count()
-    if n <= rows_per_task:
-        w = W.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return rows.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in sums])
-
-    ranges = math.ceil(n / rows_per_task)
-    parts = materialize(
-        rows.repartitionByRange(ranges, order).withColumn("_range", F.spark_partition_id()), "ranges"
-    )
+    parts = range_slices(df, [order], "_range", rows_per_task)
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = parts.groupBy("_range").agg(*[F.sum(c).alias(c) for c in sums])
     offsets = offsets.select(
@@ -84,20 +75,15 @@ def column_facts(df: DataFrame, cols: list[str]):
 
 
 def medians(
-    df: DataFrame, cols: list[str], rows_per_task: int = ROWS_PER_TASK, rows: int | None = None
+    df: DataFrame, cols: list[str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Exact interpolated medians as a one-row table with the columns ``cols``.
 
-    ``median`` keeps every distinct value of a column in one buffer, so it is
-    used only when the row count is within ``rows_per_task``. Larger inputs take
-    a mergeable quantile sketch first, whose error bound brackets the middle,
-    then count the rows below the bracket and rank only the values inside it.
-    ``rows`` saves the counting pass when the caller knows the row count.
+    ``median`` would keep every distinct value of a column in one buffer. Here a
+    mergeable quantile sketch brackets the middle by its error bound, the rows
+    below the bracket are counted and only the values inside it are ranked.
     """
     x = df.select(*[coerce_double(F.col(c)).alias(c) for c in cols])
-    if (x.count() if rows is None else rows) <= rows_per_task:
-        return x.agg(*[F.median(c).alias(c) for c in cols])
-
     accuracy = 10_000
     slack = 2.0 / accuracy
     bounds = x.agg(
