@@ -164,10 +164,10 @@ def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.stack([(y == row).sum(1) for row in x])
 
 
-def pivot_pairs(buckets: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's pivot of this turn, if their components differ."""
+def pivot_pairs(buckets: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's pivot, if their components differ."""
     pivots = buckets.groupBy("key").agg(
-        F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "component", "small")).alias("p"), F.min("component").alias("low"), F.max("component").alias("high")
+        F.min(F.struct(F.xxhash64(F.lit(0), "node").alias("h"), "node", "component", "small")).alias("p"), F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low != high").select("key", F.col("p.node").alias("pivot"), F.col("p.component").alias("pivot_component"), F.col("p.small").alias("pivot_small"))
 
     def run(batches):
@@ -291,7 +291,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     sets = materialize(full_sets(docs, buckets.select("node").distinct()), "near-sets")
     labels = None
-    steps = [lambda t, i=i: pivot_pairs(t, i) for i in range(2)] + [lambda t: cell_pairs(t, sets)]
+    # a large group has a pivot in each of its buckets; the cells decide what these leave
+    steps = [pivot_pairs, lambda t: cell_pairs(t, sets)]
     for step in steps:
         now = buckets.withColumn("component", F.col("node")) if labels is None else buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         pairs = materialize(step(now), "near-pairs")
