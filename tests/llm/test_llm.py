@@ -277,6 +277,24 @@ def test_decontamination(spark, docs, nothing):
     assert decontamination.leaks(nothing, benchmark).count() == 0 and decontamination.leaks(table, benchmark.limit(0)).count() == 0
 
 
+def test_items_in_many_documents(spark):
+    r = random.Random(4)
+    items = [(i, " ".join(f"q{r.randrange(500)}" for _ in range(25))) for i in range(5)] + [(5, "of the and w1x w2x the of")]
+    rows = [(i, " ".join(r.choices(VOCABULARY, k=60))) for i in range(80)]
+    rows = [(i, f"{t} {items[0][1]} {t[::-1]}" if i % 2 else f"{t} of the and w1x w2x the of" if i % 4 else t) for i, t in rows]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontamination.leaks(table, benchmark).collect()}
+    assert got == {(i, 0) for i in range(1, 80, 2)} | {(i, 5) for i in range(2, 80, 4)}
+    assert {x["doc_id"] for x in decontamination.drop_leaks(table, benchmark).collect()} == set(range(0, 80, 4))
+
+
+def test_space_holds_every_passage():
+    idf, space = np.ones(6), np.eye(6)[:, :2]
+    space = decontamination.completed(space, [np.array([0, 1]), np.array([4, 5, 5]), np.array([4, 5])], idf)
+    assert space.shape == (6, 3) and np.allclose(space.T @ space, np.eye(3))
+
+
 def test_common_subsequence():
     assert decontamination.common_subsequence(list("abcde"), list("xaxcxe")) == 3
     assert decontamination.common_subsequence(list("ab"), []) == 0
