@@ -3,7 +3,7 @@ written as Parquet and read again for the next."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from vereda.llm import decontamination, mixing, near_duplicates, sharding, toxicity
 from vereda.llm.common import documents
@@ -20,13 +20,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate component. A row
-    that repeats another's id goes with it: one row per id is left. Rows without an
-    id stay only if they are linked to nothing."""
-    found = near_duplicates.near_duplicates(docs)
-    kept = found.where("kept").select(F.coalesce("doc_id", F.lit(int(near_duplicates.NO_ID))).alias("_kept")).distinct()
-    joined = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(near_duplicates.NO_ID))))
-    return joined.join(kept, F.col("_key") == F.col("_kept"), "left_semi").dropDuplicates(["_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The document with the smallest id of each near-duplicate component; rows are told
+    apart by id and text, so rows without an id or with a shared one are judged by their own text."""
+    return near_duplicates.one_of_each(docs)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

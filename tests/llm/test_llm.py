@@ -131,6 +131,20 @@ def test_near_duplicates(spark, docs, nothing):
     assert all(tuple(x)[1:] == want[x["doc_id"]] for x in got)
 
 
+def test_near_duplicates_without_ids(spark):
+    r = random.Random(6)
+    a, b, c, d, e = (" ".join(r.choices(VOCABULARY, k=60)) for _ in range(5))
+    rows = [(None, a, 0), (None, f"{a} more", 1), (None, b, 2), (1, f"{b} more", 3), (None, c, 4), (7, d, 5), (7, e, 6), (8, f"{e} more", 7), (7, d, 8)]
+    rows += [(None, None, 9), (None, "", 10), (None, "", 11), (9, " ", 12)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, row long")
+    got = Counter(tuple(x)[::2] + (x["kept"],) for x in near_duplicates.near_duplicates(table).collect())
+    assert got[None, 1, False] == 1 and got[1, 1, True] == 1 and got[8, 7, False] == 1 and got[7, 7, True] == 3
+    assert got[None, None, True] == 1 + 1 + 3 and got[None, None, False] == 1 and got[9, 9, True] == 1
+    kept = sorted(x["row"] for x in corpus_pipeline.one_of_each(spark, table, "").collect())
+    assert len(set(kept) & {0, 1}) == 1 and len(set(kept) & {5, 8}) == 1
+    assert set(kept) - {0, 1, 5, 8} == {3, 4, 6, 9, 10, 11, 12} and len(kept) == 9
+
+
 def test_links_inside_a_cell():
     r = np.random.default_rng(2)
     pool = r.integers(0, 1 << 32, 6000, dtype=np.uint32)

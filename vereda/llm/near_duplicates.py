@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bindings.common import Catalog
-from vereda.llm.common import documents, gram_hashes, hashed_words, mixed, raw, slices, stretches
+from vereda.llm.common import documents, gram_hashes, hashed_words, mixed, n_words, raw, slices, stretches
 from vereda.session import materialize
 
 catalog = Catalog()
@@ -28,8 +28,9 @@ COORDINATES, BANDS, ROWS = 256, 50, 5
 #: coordinates that a pair at 0.8 has in common but for odds of 1e-8
 LEAST_EQUAL = 169
 CELL = 512
-NO_ID = np.iinfo(np.int64).max
 SIMILARITY = 80
+#: what tells rows with another id or text apart
+KEY, KEY_TYPES = ["_no_id", "_id", "_h1", "_h2"], "_no_id boolean, _id long, _h1 long, _h2 long"
 
 
 def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,6 +49,17 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return values[new], owners[new]
 
 
+def set_keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Two hashes of each whole set; 0 for empty ones."""
+    keys = np.zeros((len(sizes), 2), np.uint64)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        heads = (np.cumsum(sizes) - sizes)[some]
+        keys[some, 0] = np.add.reduceat(mixed(values), heads)
+        keys[some, 1] = np.add.reduceat(mixed(values ^ np.uint64(0x5851F42D4C957F2D)), heads)
+    return keys.view(np.int64)
+
+
 def sketches(values: np.ndarray, owners: np.ndarray, n: int, t: int = COORDINATES) -> np.ndarray:
     """The ``t`` coordinates of ``n`` sets; rows of empty sets stay at the largest value."""
     shift = np.uint64(64 - (t.bit_length() - 1))
@@ -71,9 +83,17 @@ def sketches(values: np.ndarray, owners: np.ndarray, n: int, t: int = COORDINATE
     return cells.reshape(n, t)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_no_id, _id, _h1, _h2``, which rows with one id and text share and no others."""
+    return docs.select(
+        "*", F.col("doc_id").isNull().alias("_no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"),
+        F.xxhash64("text").alias("_h1"), F.xxhash64(F.lit(1), "text").alias("_h2"),
+    )
+
+
 def sketched(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, k1, k2, bands, small`` per row: set size, two hashes of the
-    whole set, a key per band, and a byte per coordinate."""
+    """``_no_id, _id, _h1, _h2, n_shingles, k1, k2, bands, small`` per row of ``keyed``: set
+    size, two hashes of the whole set, a key per band, and a byte per coordinate."""
     factors = mixed(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches):
@@ -83,39 +103,36 @@ def sketched(docs: DataFrame) -> DataFrame:
             n = len(texts)
             sizes = np.bincount(owners, minlength=n)
             cells = sketches(values, owners, n)
-            keys = np.zeros((n, 2), np.uint64)
-            some = np.flatnonzero(sizes)
-            if len(some):
-                heads = (np.cumsum(sizes) - sizes)[some]
-                keys[some, 0] = np.add.reduceat(mixed(values), heads)
-                keys[some, 1] = np.add.reduceat(mixed(values ^ np.uint64(0x5851F42D4C957F2D)), heads)
+            keys = set_keys(values, sizes)
             parts = cells[:, : BANDS * ROWS].reshape(n, BANDS, ROWS)
             bands = mixed((parts * factors).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
             ends = np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)
             small = [x.tobytes() for x in (cells & np.uint64(255)).astype(np.uint8)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(keys[:, 0].view(np.int64)), pa.array(keys[:, 1].view(np.int64)),
+                [*(b.column(c) for c in KEY), pa.array(sizes.astype(np.int64)), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(bands.reshape(-1).view(np.int64))), pa.array(small, pa.binary())],
-                names=["doc_id", "n_shingles", "k1", "k2", "bands", "small"],
+                names=[*KEY, "n_shingles", "k1", "k2", "bands", "small"],
             )
 
-    return raw(docs).mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, small binary")
+    return raw(docs, *KEY).mapInArrow(run, f"{KEY_TYPES}, n_shingles long, k1 long, k2 long, bands array<long>, small binary")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, n, members, prints``: the sorted shingle hashes of the nodes' documents,
-    and their upper halves."""
+    """``node, n, members, prints``: the sorted shingle hashes of the nodes (``node, k1,
+    k2, n_shingles`` and ``first``, the key of a row that has the set), and their upper halves."""
 
     def run(batches):
         for b in slices(batches):
             texts = [t or b"" for t in b.column("text").to_pylist()]
             values, owners = shingle_sets(texts)
             sizes = np.bincount(owners, minlength=len(texts))
+            keys = set_keys(values, sizes)
             parts = np.split(values, np.cumsum(sizes)[:-1])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([(p >> np.uint64(32)).astype(np.uint32).tobytes() for p in parts], pa.binary())], names=["node", "n", "members", "prints"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(sizes.astype(np.int64)), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([(p >> np.uint64(32)).astype(np.uint32).tobytes() for p in parts], pa.binary())], names=["k1", "k2", "n", "members", "prints"])
 
-    wanted = raw(docs).join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    return wanted.mapInArrow(run, "node long, n long, members binary, prints binary").dropDuplicates(["node"])
+    wanted = raw(docs, *KEY).join(nodes.select("first.*"), KEY, "left_semi").dropDuplicates(KEY)
+    sets = wanted.select("doc_id", "text").mapInArrow(run, "k1 long, k2 long, n long, members binary, prints binary")
+    return sets.join(nodes.select("node", "k1", "k2", F.col("n_shingles").alias("n")), ["k1", "k2", "n"]).select("node", "n", "members", "prints").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -270,26 +287,22 @@ def cell_pairs(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     return cells.mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row.
-
-    NULL and blank texts have an empty set and stay by themselves. Rows without an
-    id count as one with the largest id and get a NULL ``component_id`` unless
-    linked to others. Ids should name one text; a row that repeats another in full
-    has its result. Other columns are ignored.
-    """
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("doc_id"), "text")
+def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For ``docs`` from ``keyed``: the sketched rows, and ``k1, k2, n_shingles, first``
+    per distinct set that is not empty. ``first`` is the key of the row with the smallest id, rows
+    without one last, of all rows whose sets are linked to this one."""
     table = materialize(sketched(docs), "near-sketches")
-    full = table.where("n_shingles > 0")
-    classes = materialize(
-        full.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("small").alias("small")), "near-classes"
+    sets_of = table.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(
+        F.min(F.struct(*KEY)).alias("first"), F.first("bands").alias("bands"), F.first("small").alias("small")
     )
+    classes = materialize(sets_of.withColumn("node", F.monotonically_increasing_id()), "near-classes")
     members = classes.select(F.explode("bands").alias("key"), "node")
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
     buckets = materialize(
         members.join(shared, "key").join(classes.select("node", F.col("n_shingles").alias("n"), "small"), "node"), "near-buckets"
     )
-    sets = materialize(full_sets(docs, buckets.select("node").distinct()), "near-sets")
+    wanted = classes.join(buckets.select("node").distinct(), "node", "left_semi")
+    sets = materialize(full_sets(docs, wanted.select("node", "k1", "k2", "n_shingles", "first")), "near-sets")
     labels = None
     # a large group has a pivot in each of its buckets; the cells decide what these leave
     steps = [pivot_pairs, lambda t: cell_pairs(t, sets)]
@@ -303,15 +316,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if labels is not None:
             found = found.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
         labels = components(found)
-    own = full.select("doc_id", "n_shingles", "k1", "k2").join(classes.select("k1", "k2", "n_shingles", "node"), ["k1", "k2", "n_shingles"])
+    nodes = classes.select("node", "k1", "k2", "n_shingles", "first")
     if labels is None:
-        labels = classes.select("node", F.col("node").alias("component"))
-    linked = own.join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
-    empty = table.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    blank = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
-    return linked.union(empty).select(
-        blank("doc_id"), "n_shingles", blank("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept")
+        return table, nodes.drop("node")
+    nodes = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    firsts = nodes.groupBy("component").agg(F.min("first").alias("first"))
+    return table, nodes.drop("first").join(firsts, "component").select("k1", "k2", "n_shingles", "first")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row.
+
+    Every distinct set is a node, whatever the ids of its rows; ``component_id`` is the
+    smallest id among the linked rows, NULL if none has an id. Then the rows of one
+    text are kept. NULL and blank texts have an empty set and stay by themselves. A row
+    that repeats another in full has its result. Other columns are ignored.
+    """
+    table, sets = linked_sets(keyed(docs.select("doc_id", "text")))
+    own = table.where("n_shingles > 0").select(*KEY, "n_shingles", "k1", "k2").join(sets, ["k1", "k2", "n_shingles"])
+    one = F.when(F.col("_no_id"), F.struct(*KEY) == F.col("first")).otherwise(F.col("_id") == F.col("first._id"))
+    linked = own.select(
+        F.when(~F.col("_no_id"), F.col("_id")).alias("doc_id"), "n_shingles", F.when(~F.col("first._no_id"), F.col("first._id")).alias("component_id"), one.alias("kept")
     )
+    empty = table.where("n_shingles = 0").select(F.when(~F.col("_no_id"), F.col("_id")).alias("doc_id"), "n_shingles")
+    return linked.union(empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each component, the first by id, with all its columns. Rows without
+    words stay, but one of those that share an id and text."""
+    rows = keyed(docs)
+    _, sets = linked_sets(keyed(docs.select("doc_id", "text")))
+    blank = n_words(F.col("text")) == 0
+    firsts = sets.select("first.*").distinct()
+    chosen = rows.where(~blank).join(firsts, KEY, "left_semi").select(*[F.col(f"`{c}`") for c in rows.columns]).union(rows.where(blank & ~F.col("_no_id"))).dropDuplicates(KEY)
+    return chosen.union(rows.where(blank & F.col("_no_id"))).drop(*KEY)
 
 
 @catalog.add("""
