@@ -45,8 +45,8 @@ def halves(split):
 
 @catalog.add()
 def tabular_job(spark, sf):
-    """Logistic regression and forest with fewer and flatter trees than the default."""
-    return tabular.run(document_facts(spark, sf), "doc_id", TEXT_COLS, trees=20, depth=8, folds=3)
+    """Logistic regression and forest at the job's defaults."""
+    return tabular.run(document_facts(spark, sf), "doc_id", TEXT_COLS)
 
 
 @catalog.add()
@@ -58,19 +58,19 @@ def classifier_logistic(spark, sf):
 @catalog.add()
 def classifier_forest(spark, sf):
     train, test = halves(part_training(spark, sf))
-    return md.evaluate(md.area_forest(trees=30).fit(train), test)
+    return md.evaluate(md.area_forest().fit(train), test)
 
 
 @catalog.add()
 def classifier_boosted(spark, sf):
     train, test = halves(part_training(spark, sf))
-    return md.evaluate(md.boosted(rounds=10).fit(train), test)
+    return md.evaluate(md.boosted().fit(train), test)
 
 
 @catalog.add()
 def feature_importance(spark, sf):
     train, _ = halves(part_training(spark, sf))
-    return md.feature_importance(md.area_forest(trees=30).fit(train), PART_COLS)
+    return md.feature_importance(md.area_forest().fit(train), PART_COLS)
 
 
 @catalog.add()
@@ -83,7 +83,7 @@ def coefficient_rank(spark, sf):
 def shapley_summary(spark, sf):
     train, _ = halves(part_training(spark, sf))
     model = md.logistic(train.count()).fit(train)
-    return at.attribution_summary(at.shapley_sampling(train, model, PART_COLS, "p_partkey", permutations=4))
+    return at.attribution_summary(at.shapley_sampling(train, model, PART_COLS, "p_partkey"))
 
 
 def labelled_text(spark, sf, label):
@@ -100,7 +100,7 @@ def text_classifier(spark, sf):
 @catalog.add()
 def text_fold_f1(spark, sf):
     """Macro F1 over stratified folds of the text classifier."""
-    out = md.text_cross_validate(labelled_text(spark, sf, "quality"), "doc_id", "text", "quality", k=3, max_features=1000)
+    out = md.text_cross_validate(labelled_text(spark, sf, "quality"), "doc_id", "text", "quality")
     return ev.fold_summary(out, "f1_macro", "cv_f1_macro")
 
 
@@ -108,7 +108,7 @@ def text_fold_f1(spark, sf):
 def routed_sentiment(spark, sf):
     known = materialize(labelled_text(spark, sf, "quality"), "known")
     models = {
-        lang: md.text_classifier(known.where(F.col("lang") == lang), "text", "quality", max_features=1000)
+        lang: md.text_classifier(known.where(F.col("lang") == lang), "text", "quality")
         for lang in ("en", "es")
     }
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
@@ -119,7 +119,7 @@ def routed_sentiment(spark, sf):
 def model_roundtrip(spark, sf):
     """A saved and reloaded model predicts the same."""
     known = materialize(labelled_text(spark, sf, "quality"), "known")
-    model = md.text_classifier(known, "text", "quality", max_features=1000)
+    model = md.text_classifier(known, "text", "quality")
     path = scratch_path(spark, "model")
     md.save_model(model, path)
     first = model.transform(known).select("doc_id", F.col("y_pred").alias("before"))
@@ -131,6 +131,6 @@ def model_roundtrip(spark, sf):
 
 @catalog.add()
 def area_job(spark, sf):
-    """The whole suitability job with few boosting rounds and trees."""
+    """The whole suitability job at its defaults."""
     parts = part_indicators(spark, sf).withColumnRenamed("p_partkey", "ageb_id")
-    return areas.run(parts, boost_rounds=3, trees=10, folds=2, attribution_rows=100, permutations=2).metrics
+    return areas.run(parts).metrics

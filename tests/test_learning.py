@@ -1,9 +1,12 @@
+import inspect
 import json
 from pathlib import Path
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
 
+from bindings import learning
 from vereda.operators import attribution as at, evaluation as ev, models as md, sampling as sm
 from vereda.plans import areas, reviews, tabular
 from vereda.operators import language as lg
@@ -129,6 +132,17 @@ def test_area_job(spark):
     assert r.importances.count() == 8 and r.attributions.count() == 8 and not r.roc.isEmpty()
 
 
+def test_queries_take_the_job_defaults(monkeypatch):
+    assert inspect.signature(areas.run).parameters["attribution_rows"].default is None
+    seen = []
+    monkeypatch.setattr(learning, "part_indicators", lambda *a: MagicMock())
+    monkeypatch.setattr(learning, "document_facts", lambda *a: MagicMock())
+    monkeypatch.setattr(learning.areas, "run", lambda df, **k: seen.append(k) or MagicMock())
+    monkeypatch.setattr(learning.tabular, "run", lambda df, id_col, cols, **k: seen.append(k))
+    learning.area_job(None, ""), learning.tabular_job(None, "")
+    assert seen == [{}, {}]
+
+
 def test_review_job(spark):
     good, bad = ["great team and pay", "the office is nice"], ["long hours and stress", "the boss is rude"]
     rows = [("c", f"t{i}", good[i % 2] + f" word{i % 4}", bad[i % 2] + f" thing{i % 3}") for i in range(20)]

@@ -29,7 +29,7 @@ class AreaResult:
 
 def run(
     df: DataFrame, target: str = "target", boost_rounds: int = 250, trees: int = 300, folds: int = 5,
-    attribution_rows: int = 1000, permutations: int = 8,
+    attribution_rows: int | None = None, permutations: int = 8,
 ) -> AreaResult:
     df = area_key(require_rows(df, "no areas given"))
     cols = resolve_features(df, target)
