@@ -21,8 +21,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate component; rows are told
-    apart by id and text, so rows without an id or with a shared one are judged by their own text."""
-    return near_duplicates.one_of_each(docs)
+    apart by id and text, so rows without an id or with a shared one are judged by their own text.
+    Documents are near at a similarity of 0.8 of their shingles of five words."""
+    return near_duplicates.one_of_each(docs, 5)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +37,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every document in 24 shards along the curve."""
-    return sharding.shard_by_hilbert(docs, ["source", "lang", "size"], 24)
+    """Every document with its place in 24 shards along the curve, in this order."""
+    return sharding.sharded_documents(docs, ["source", "lang", "size"], 24)
 
 
 STAGES = [

@@ -52,6 +52,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/vereda/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(*tables: DataFrame | None) -> None:
+    """Remove stored steps that nothing reads any more; tables from elsewhere stay."""
+    for df in tables:
+        if df is None:
+            continue
+        spark = df.sparkSession
+        ours = f"/vereda/{spark.sparkContext.applicationId}/"
+        for folder in {f[: f.rindex("/")] for f in df.inputFiles() if ours in f}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
