@@ -96,13 +96,13 @@ def test_repeats(docs, nothing):
     assert repeats.remove_repeats(nothing).count() == 0
 
 
-def shingles(text):
+def shingles(text, width=2):
     ws = words(text, True)
-    return frozenset(zip(ws, ws[1:])) if len(ws) > 1 else frozenset([tuple(ws)] if ws else [])
+    return frozenset(zip(*(ws[k:] for k in range(width)))) if len(ws) >= width else frozenset([tuple(ws)] if ws else [])
 
 
-def components_of(rows):
-    sets = {i: shingles(t) for i, t, *_ in rows}
+def components_of(rows, width=2):
+    sets = {i: shingles(t, width) for i, t, *_ in rows}
     top = {i: i for i in sets}
 
     def root(i):
@@ -119,15 +119,17 @@ def components_of(rows):
 
 def test_near_duplicates(spark, docs, nothing):
     want = components_of(ROWS)
-    got = near_duplicates.near_duplicates(docs).collect()
+    got = near_duplicates.near_duplicates(docs, 2).collect()
     assert len(got) == len(ROWS) and all(tuple(r)[1:] == want[r["doc_id"]] for r in got)
     assert near_duplicates.near_duplicates(nothing).count() == 0
+    want = components_of(ROWS, 5)
+    assert all(tuple(r)[1:] == want[r["doc_id"]] for r in near_duplicates.near_duplicates(docs).collect())
     # a broad group around the limit: many members lie below 0.8 of the pivots
     r = random.Random(1)
     base = [f"b{i}" for i in range(120)]
     rows = [(i, " ".join(w if r.random() > i % 9 / 100 else f"n{r.random()}" for w in base)) for i in range(120)]
     want = components_of(rows)
-    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
     assert all(tuple(x)[1:] == want[x["doc_id"]] for x in got)
 
 
@@ -137,7 +139,7 @@ def test_near_duplicates_without_ids(spark):
     rows = [(None, a, 0), (None, f"{a} more", 1), (None, b, 2), (1, f"{b} more", 3), (None, c, 4), (7, d, 5), (7, e, 6), (8, f"{e} more", 7), (7, d, 8)]
     rows += [(None, None, 9), (None, "", 10), (None, "", 11), (9, " ", 12)]
     table = spark.createDataFrame(rows, "doc_id long, text string, row long")
-    got = Counter(tuple(x)[::2] + (x["kept"],) for x in near_duplicates.near_duplicates(table).collect())
+    got = Counter(tuple(x)[::2] + (x["kept"],) for x in near_duplicates.near_duplicates(table, 2).collect())
     assert got[None, 1, False] == 1 and got[1, 1, True] == 1 and got[8, 7, False] == 1 and got[7, 7, True] == 3
     assert got[None, None, True] == 1 + 1 + 3 and got[None, None, False] == 1 and got[9, 9, True] == 1
     kept = sorted(x["row"] for x in corpus_pipeline.one_of_each(spark, table, "").collect())
@@ -147,13 +149,10 @@ def test_near_duplicates_without_ids(spark):
 
 def test_links_inside_a_cell():
     r = np.random.default_rng(2)
-    pool = r.integers(0, 1 << 32, 6000, dtype=np.uint32)
+    pool = np.unique(r.integers(0, 1 << 63, 6000, dtype=np.uint64))
     sets = [r.choice(pool, n, replace=False) for n in (1, 40, 3000, 5000, 40)]
-    got = near_duplicates.common_prints([x.tobytes() for x in sets[:3]], [y.tobytes() for y in sets[3:]])
+    got = near_duplicates.common_members([x.tobytes() for x in sets[:3]], [y.tobytes() for y in sets[3:]])
     assert (got == [[len(np.intersect1d(x, y)) for y in sets[3:]] for x in sets[:3]]).all()
-    # two elements with one print count as two
-    same = np.array([7, 7, 9], np.uint32).tobytes()
-    assert near_duplicates.common_prints([same], [same]).tolist() == [[3]]
     keep = near_duplicates.spanning(np.array([1, 2, 1, 4]), np.array([2, 3, 3, 1]))
     assert keep.tolist() == [True, True, False, True]
 
@@ -176,6 +175,73 @@ def test_sharding(docs, nothing):
     assert sharding.shard_by_hilbert(nothing, ["source", "size"], 7).count() == 0
 
 
+def curve(rows, n_shards, bits):
+    """The order of ``(source, lang, size)`` rows by quantile levels, by hand."""
+    def levels(values, number):
+        known = sorted((v for v in values if v is not None), key=lambda v: v if number else v.encode())
+        if number:  # edges as the sketch gives them on few rows: exact
+            edges = sorted({known[max(math.ceil(i / 2**bits * len(known)), 1) - 1] for i in range(1, 2**bits)})
+            return [sum(e < v for e in edges) if v is not None else 0 for v in values]
+        out, before = {}, 0
+        held = -1
+        rank = 0
+        for v in dict.fromkeys(known):
+            n = known.count(v)
+            low, high = before * 2**bits // len(known), (before + n - 1) * 2**bits // len(known)
+            rank += low > held or (before > 0 and wide)
+            wide = high > low
+            held = high
+            out[v] = min(rank, 2**bits - 1)
+            before += n
+        return [out[v] if v is not None else 0 for v in values]
+
+    points = np.array([levels([r[0] for r in rows], False), levels([r[1] for r in rows], False), levels([r[2] for r in rows], True)]).T
+    return sharding.hilbert_index(points, bits)
+
+
+def test_curve_against_levels_by_hand(spark):
+    r = random.Random(9)
+    rows = [(i, r.choice(["https://one.example/a", "https://one.example/b", "https://two.example/", "é", None]), r.choice(["en"] * 5 + ["de", "fr"]), "x" * r.choice([1, 5, 9, 100])) for i in range(97)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string").repartition(5)
+    got = {x["doc_id"]: x for x in sharding.shard_by_hilbert(table, ["source", "lang", "size"], 5, 3).collect()}
+    want = curve([(x[1], x[2], len(x[3]) + 8) for x in rows], 5, 3)
+    assert [got[i]["hilbert"] for i in range(97)] == want.tolist()
+    order = sorted(range(97), key=lambda i: (want[i], i))
+    assert [(got[i]["shard"], got[i]["slot"]) for i in order] == [(s, k) for s in range(5) for k in range(len([1 for p in range(97) if p * 5 // 97 == s]))]
+
+
+def test_shards_hold_the_rows_and_prune(spark, docs, nothing, tmp_path):
+    import pyarrow.parquet as pq
+
+    table = docs.withColumnsRenamed({"kept": "shard", "row": "_hash", "key": "low"})
+    out = sharding.sharded_documents(table, ["source", "lang"], 7)
+    assert out.columns == [c for c in table.columns if c != "shard"] + ["shard", "slot"]
+    names = ["doc_id", "text", "source"]
+    plain = lambda x: tuple("" if v is None else str(v) for v in x)
+    assert sorted(plain(x[n] for n in names) for x in out.collect()) == sorted(plain((x[0], x[1], x[3])) for x in ROWS)
+    assert out.select("shard", "slot").distinct().count() == len(ROWS)
+    assert sharding.sharded_documents(nothing, ["source"], 7).count() == 0
+    big = spark.range(4000).selectExpr("id as doc_id", "concat('text ', id) as text", "concat('https://src', id % 20, '.example') as source", "id % 4 as lang")
+    sharding.sharded_documents(big.repartition(4), ["source", "lang"], 16).write.option("maxRecordsPerFile", 250).parquet(str(tmp_path / "out"))
+    files = [pq.ParquetFile(f) for f in (tmp_path / "out").glob("*.parquet")]
+    at = files[0].schema_arrow.get_field_index("source")
+    spans = [(g.column(at).statistics.min, g.column(at).statistics.max) for f in files for g in [f.metadata.row_group(0)]]
+    # files that a filter on one source has to read
+    assert sum(a <= "https://src7.example" <= z for a, z in spans) <= len(spans) / 2
+
+
+CLASHING = ["_id", "_k", "_size", "_crc", "_h1", "row", "_row", "_hash", "_pieces", "new_text", "node", "size", "crc", "first"]
+
+
+def test_stages_keep_columns_of_any_name(spark, sf_dir):
+    rows = [(i, t, "en", "a", 1, *([7] * len(CLASHING))) for i, t, *_ in ROWS[:12]]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in CLASHING))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, table, sf_dir)
+        assert out.columns[: len(table.columns)] == table.columns, name
+        assert all(x[c] == 7 for x in out.collect() for c in CLASHING), name
+
+
 @pytest.mark.parametrize("n,bits", [(2, 4), (3, 3)])
 def test_hilbert_neighbours_touch(n, bits):
     points = np.stack(np.meshgrid(*[range(2**bits)] * n, indexing="ij"), -1).reshape(-1, n)
@@ -213,6 +279,14 @@ def test_mixing(spark, docs, nothing):
     assert all(abs(taken[s] - target[s]) <= 12 for s in order if sizes[s])
     again = mixing.Mix(docs.repartition(2), block=8).taken().groupBy("doc_id").sum("taken").collect()
     assert sorted(map(tuple, again)) == sorted(got.groupby("doc_id").taken.sum().items())
+    # each source's slots are dealt to the shards by the drawn counts, in order
+    dealt = defaultdict(list)
+    for x in mix.slots().orderBy("source_no", "slot").collect():
+        dealt[x["source_no"]].append(x["shard"])
+    drawn = {x["source_no"]: x["counts"] for x in mix.shard_counts().collect()}
+    assert {k: [s for s, n in enumerate(v) for _ in range(n)] for k, v in drawn.items() if sum(v)} == dict(dealt)
+    assert len({tuple(v) for v in drawn.values()}) > 1
+    assert all((r.taken > 0) == (len(r.shards) > 0) for r in got.itertuples())
     slots = mix.slots()
     assert slots.count() == mix.sources.agg({"slots": "sum"}).first()[0] == slots.select("source_no", "slot").distinct().count()
     out = mixing.mixed_documents(docs.dropDuplicates(["doc_id"]), block=8)
@@ -291,6 +365,33 @@ def test_decontamination(spark, docs, nothing):
     assert decontamination.leaks(nothing, benchmark).count() == 0 and decontamination.leaks(table, benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("variants", [1, 7])
+def test_paraphrases_are_found(spark, variants):
+    r = random.Random(variants)
+    items = [(i, " ".join(f"q{r.randrange(900)}{'x' * r.randrange(6)}" for _ in range(r.choice([25, 40, 130])))) for i in range(30)]
+    rows, want = [(i, " ".join(r.choices(VOCABULARY, k=120))) for i in range(150)], set()
+    for i, t in items:
+        for _ in range(variants):
+            changed = [r.choice(VOCABULARY) if r.random() < 0.2 else w for w in t.split()]
+            rows.append((len(rows), " ".join(r.choices(VOCABULARY, k=60) + changed + r.choices(VOCABULARY, k=60))))
+            want.add((len(rows) - 1, i))
+    got = {tuple(x)[:2] for x in decontamination.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want)
+
+
+def test_blocks_of_items_find_the_same(spark, docs, monkeypatch):
+    r = random.Random(6)
+    items = [(i, " ".join(f"q{r.randrange(300)}" for _ in range(30))) for i in range(12)] + [(3, "another text of item three with words of its own")]
+    rows = [(i, f"{ROWS[i][1]} {t} {ROWS[7][1]}") for i, t in items]
+    table, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(tuple, decontamination.leaks(table, benchmark).collect()))
+    assert {x[:2] for x in whole} >= {(i, i) for i, _ in items}
+    monkeypatch.setattr(decontamination, "BLOCK_PASSAGES", 3)
+    monkeypatch.setattr(decontamination, "PASS_BLOCKS", 2)
+    assert sorted(map(tuple, decontamination.leaks(table, benchmark).collect())) == whole
+    assert decontamination.drop_leaks(table.withColumn("share", table["doc_id"]), benchmark).count() == 0
+
+
 def test_items_in_many_documents(spark):
     r = random.Random(4)
     items = [(i, " ".join(f"q{r.randrange(500)}" for _ in range(25))) for i in range(5)] + [(5, "of the and w1x w2x the of")]

@@ -197,7 +197,7 @@ def test_words_of_long_texts_and_of_no_utf8():
     long = prose(3, 30_000)
     got = a.align([long.encode(), b"a \xff b", None])
     assert got[0][0] == len(a.a.tokenizer.tokenizer.encode(" " + long, add_special_tokens=False).ids)
-    assert got[0][1] == len(a.b.tokenizer.model.encode(long)) and got[0][3] <= got[0][0]
+    assert got[0][1] == len(a.b.tokenizer.model.encode(long)) and got[0][2] <= got[0][0]
     assert got[1][:5] == got[2][:5] == (0, 0, 0, 0, 0) and got[1][5] == ""
     before, alignment.REMEMBERED = alignment.REMEMBERED, 10
     try:

@@ -1,9 +1,10 @@
 """Mixing sources to target weights, in DataFrame operations only.
 
-Each source's words form one stream, cut into blocks of a fixed length. A source
-gets a quota of slots; every slot draws its output shard at random, so that the
-counts per shard are multinomial for the quota. Slot numbers map to block numbers
-through a keyed permutation per source and pass, and blocks are joined by number.
+Each source's words form one stream, cut into blocks of a fixed length. A source has
+a quota of slots, which keeps it near its target and below its cap; how many of them
+each output shard gets is a multinomial draw for the quota. A shard's slots are the
+next ones by these counts. Slot numbers map to block numbers through a keyed
+permutation per source and pass, and blocks are joined by number.
 """
 
 from __future__ import annotations
@@ -58,10 +59,11 @@ def source_targets(sizes: DataFrame, weights: list[float], share: float, most: f
 class Mix:
     """The tables of one mix. ``docs`` may be any table with ``doc_id``, ``source``
     and ``text``; NULL text has no words, a NULL source is a source, repeated rows
-    are separate documents, an empty table gives an empty mix."""
+    are separate documents, an empty table gives an empty mix. A very long text is
+    a piece of each block that it reaches into; other columns are left behind."""
 
     def __init__(self, docs: DataFrame, weights=(3.0, 1.0, 2.0), share=1.5, most=2.0, n_shards=24, block=BLOCK, seed=10):
-        self.block, self.n_shards, self.seed = block, n_shards, seed
+        self.block, self.n_shards, self.seed, self._ends = block, n_shards, seed, None
         base = docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
             n_words(F.col("text")).alias("size"), F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("crc"),
@@ -97,35 +99,52 @@ class Mix:
             .withColumn("upto", F.least((F.col("block_no") + 1) * self.block, F.col("start") + F.col("size")) - F.col("start"))
         )
 
-    def slots(self) -> DataFrame:
-        """``source_no, slot, shard, block_no``: all draws. A source's slots come from
+    def numbers(self) -> DataFrame:
+        """``source_no, n_blocks, slot, pass_no``: every slot once. A source's slots come from
         its blocks' own numbers, so that a source with a third of all words is spread."""
         own = self.pieces().where((F.col("start") + F.col("from")) % self.block == 0)
         passes = F.expr("(slots - block_no - 1 + n_blocks) div n_blocks")  # slots block_no, block_no + n_blocks, ...
-        drawn = own.where("block_no < slots").select(
-            "source_no", "n_blocks", F.col("block_no").alias("_j"), F.explode(F.sequence(F.lit(0).cast("long"), passes - 1)).alias("pass_no")
-        )
-        slot = F.col("pass_no") * F.col("n_blocks") + F.col("_j")
-        return drawn.select(
-            "source_no", slot.alias("slot"), "pass_no",
-            F.pmod(F.xxhash64(F.lit("shard"), F.lit(self.seed), "source_no", slot), F.lit(self.n_shards)).cast("int").alias("shard"),
-            permuted(F.col("_j"), F.col("n_blocks"), F.lit(self.seed), F.col("source_no"), F.col("pass_no")).alias("block_no"),
+        each = own.where("block_no < slots").select(
+            "source_no", "n_blocks", "block_no", F.explode(F.sequence(F.lit(0).cast("long"), passes - 1)).alias("pass_no")
         )
+        return each.select("source_no", "n_blocks", (F.col("pass_no") * F.col("n_blocks") + F.col("block_no")).alias("slot"), "pass_no")
 
     def shard_counts(self) -> DataFrame:
-        """``shard, source_no, n``: the multinomial counts."""
-        return self.slots().groupBy("shard", "source_no").agg(F.count(F.lit(1)).alias("n"))
+        """``source_no, counts``: how many of a source's slots each shard gets, a multinomial
+        draw: one uniform draw for each slot, counted."""
+        drawn = F.pmod(F.xxhash64(F.lit("shard"), F.lit(self.seed), "source_no", "slot"), F.lit(self.n_shards))
+        tallies = [F.count_if(drawn == k) for k in range(self.n_shards)]
+        return self.numbers().groupBy("source_no").agg(F.array(*tallies).alias("counts"))
+
+    def slots(self) -> DataFrame:
+        """``source_no, slot, shard, pass_no, block_no``: all draws. Shard 0 has a source's first
+        slots, as many as its count, shard 1 the next ones, and so on."""
+        if self._ends is None:
+            # one row a source with a number a shard
+            ends = F.transform("counts", lambda c, i: F.aggregate(F.slice("counts", F.lit(1), i + 1), F.lit(0).cast("long"), lambda a, x: a + x))
+            self._ends = materialize(self.shard_counts().select("source_no", ends.alias("ends")), "mix-shards")
+        inside = F.col("slot") % F.col("n_blocks")
+        return self.numbers().join(self._ends, "source_no").select(
+            "source_no", "slot", F.size(F.filter("ends", lambda e: e <= F.col("slot"))).alias("shard"), "pass_no",
+            permuted(inside, F.col("n_blocks"), F.lit(self.seed), F.col("source_no"), F.col("pass_no")).alias("block_no"),
+        )
 
     def draws(self) -> DataFrame:
-        """Pieces with ``draws``, the number of times their block is taken."""
-        draws = self.slots().groupBy("source_no", "block_no").agg(F.count(F.lit(1)).alias("draws"))
+        """Pieces with ``draws``, the number of times their block is taken, and its ``shards``."""
+        draws = self.slots().groupBy("source_no", "block_no").agg(F.count(F.lit(1)).alias("draws"), F.collect_set("shard").alias("shards"))
         return self.pieces().join(draws, ["source_no", "block_no"])
 
     def taken(self) -> DataFrame:
-        """``doc_id, size, source_size, target, taken`` and ``_row`` for every document."""
-        got = self.draws().groupBy("_row").agg(F.sum((F.col("upto") - F.col("from")) * F.col("draws")).alias("taken"))
+        """``doc_id, size, source_size, target, taken, shards`` and ``_row`` for every
+        document; ``shards`` are those that get words of it, in order."""
+        # at most one set of shards for each block of a document
+        got = self.draws().groupBy("_row").agg(
+            F.sum((F.col("upto") - F.col("from")) * F.col("draws")).alias("taken"),
+            *[F.max(F.array_contains("shards", k)).alias(f"in_{k}") for k in range(self.n_shards)],
+        )
+        shards = F.filter(F.array(*[F.when(F.col(f"in_{k}"), k) for k in range(self.n_shards)]), lambda k: k.isNotNull())
         return self.placed.join(got, "_row", "left").select(
-            "_row", "doc_id", "crc", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+            "_row", "doc_id", "crc", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), shards.alias("shards")
         )
 
 
@@ -141,17 +160,17 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     drawn = mix.draws().groupBy("_row").agg(
         F.array_sort(F.collect_list(F.struct("from", "upto", "draws"))).alias("_pieces")
     )
-    plan = mix.placed.join(drawn, "_row").groupBy("doc_id", "source", "size", "crc").agg(F.min_by("_pieces", "_row").alias("_pieces"), F.first("size").alias("_size"))
-    plan = plan.withColumnsRenamed({"doc_id": "_doc", "source": "_source", "size": "_words", "crc": "_crc"})
-    names = docs.columns
-    keyed = docs.withColumn("_k", F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))))
+    plan = mix.placed.join(drawn, "_row").groupBy("doc_id", "source", "size", "crc").agg(F.min_by("_pieces", "_row").alias("_pieces"))
+    # the caller's columns are nested, so that no name clashes
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("row_crc"))
     joined = keyed.join(
         plan,
-        keyed["doc_id"].eqNullSafe(plan["_doc"]) & (keyed["_k"] == plan["_crc"]) & keyed["source"].eqNullSafe(plan["_source"]),
+        F.col("row.doc_id").cast("long").eqNullSafe(plan["doc_id"]) & (F.col("row_crc") == plan["crc"]) & F.col("row.source").cast("string").eqNullSafe(plan["source"]),
     )
-    words = F.filter(F.split("text", SPACES), lambda w: w != "")
+    text_in = F.col("row.text")
+    words = F.filter(F.split(text_in, SPACES), lambda w: w != "")
     most = F.array_max(F.transform("_pieces", lambda p: p["draws"]))
-    least = F.when(F.aggregate("_pieces", F.lit(0).cast("long"), lambda a, p: a + p["upto"] - p["from"]) == F.col("_size"), F.array_min(F.transform("_pieces", lambda p: p["draws"]))).otherwise(0)
+    least = F.when(F.aggregate("_pieces", F.lit(0).cast("long"), lambda a, p: a + p["upto"] - p["from"]) == F.col("size"), F.array_min(F.transform("_pieces", lambda p: p["draws"]))).otherwise(0)
 
     def text_of(w):
         passes = F.transform(
@@ -160,11 +179,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         )
         return F.array_join(F.flatten(passes), " ")
 
-    text = F.when((least == 1) & (most == 1), F.col("text")).otherwise(F.get(F.transform(F.array(words), text_of), F.lit(0)))
-    out = joined.withColumn("text", text)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{n}`") for n in names])
+    text = F.when((least == 1) & (most == 1), text_in).otherwise(F.get(F.transform(F.array(words), text_of), F.lit(0)))
+    new = {"text": F.col("new_text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("new_text").cast(docs.schema["n_chars"].dataType)
+    out = joined.select("row", text.alias("new_text"))
+    return out.select(*[new[n].alias(n) if n in new else F.col(f"row.`{n}`") for n in docs.columns])
 
 
 @catalog.add()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bindings.common import Catalog
 from vereda.llm.common import documents, gram_hashes, hashed_words, mixed, n_words, raw, slices, stretches
-from vereda.session import materialize
+from vereda.session import discard, materialize
 
 catalog = Catalog()
 
@@ -33,15 +33,23 @@ SIMILARITY = 80
 KEY, KEY_TYPES = ["_no_id", "_id", "_h1", "_h2"], "_no_id boolean, _id long, _h1 long, _h2 long"
 
 
-def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed 2-word shingles of each text, and their text, sorted by text
-    and hash; a text of one word has that word, a text of none nothing."""
+def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed shingles of ``width`` words of each text, and their text, sorted by
+    text and hash; a text of fewer words has all of them as one, a text of none nothing."""
     h, owner = hashed_words([t.lower() for t in texts])
-    g = gram_hashes(h, 2)
-    inside = owner[:-1] == owner[1:] if len(owner) else np.zeros(0, bool)
-    alone = np.bincount(owner, minlength=len(texts))[owner] == 1 if len(owner) else inside
-    values = np.concatenate([g[inside[: len(g)]], mixed(~h[alone])])
-    owners = np.concatenate([owner[:-1][inside] if len(owner) else owner, owner[alone]])
+    counts = np.bincount(owner, minlength=len(texts))
+    starts = np.cumsum(counts) - counts
+    values, owners = [], []
+    for n in range(1, width + 1):
+        g = gram_hashes(h, n)
+        if n == width:
+            at = np.flatnonzero(owner[: len(g)] == owner[n - 1 :][: len(g)])
+            values.append(g[at])
+        else:
+            at = starts[counts == n]
+            values.append(mixed(~g[at]))
+        owners.append(owner[at])
+    values, owners = np.concatenate(values), np.concatenate(owners)
     order = np.lexsort((values, owners))
     values, owners = values[order], owners[order]
     new = np.ones(len(values), bool)
@@ -84,14 +92,15 @@ def sketches(values: np.ndarray, owners: np.ndarray, n: int, t: int = COORDINATE
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_no_id, _id, _h1, _h2``, which rows with one id and text share and no others."""
+    """``row`` with all columns, ``doc_id, text`` and ``_no_id, _id, _h1, _h2``, which rows
+    with one id and text share and no others. Names inside ``row`` can't clash."""
     return docs.select(
-        "*", F.col("doc_id").isNull().alias("_no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"),
-        F.xxhash64("text").alias("_h1"), F.xxhash64(F.lit(1), "text").alias("_h2"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", F.col("doc_id").isNull().alias("_no_id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), F.xxhash64("text").alias("_h1"), F.xxhash64(F.lit(1), "text").alias("_h2"),
     )
 
 
-def sketched(docs: DataFrame) -> DataFrame:
+def sketched(docs: DataFrame, width: int) -> DataFrame:
     """``_no_id, _id, _h1, _h2, n_shingles, k1, k2, bands, small`` per row of ``keyed``: set
     size, two hashes of the whole set, a key per band, and a byte per coordinate."""
     factors = mixed(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -99,7 +108,7 @@ def sketched(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in slices(batches):
             texts = [t or b"" for t in b.column("text").to_pylist()]
-            values, owners = shingle_sets(texts)
+            values, owners = shingle_sets(texts, width)
             n = len(texts)
             sizes = np.bincount(owners, minlength=n)
             cells = sketches(values, owners, n)
@@ -117,22 +126,22 @@ def sketched(docs: DataFrame) -> DataFrame:
     return raw(docs, *KEY).mapInArrow(run, f"{KEY_TYPES}, n_shingles long, k1 long, k2 long, bands array<long>, small binary")
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, n, members, prints``: the sorted shingle hashes of the nodes (``node, k1,
-    k2, n_shingles`` and ``first``, the key of a row that has the set), and their upper halves."""
+def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """``node, n, members``: the sorted shingle hashes of the nodes (``node, k1, k2,
+    n_shingles`` and ``first``, the key of a row that has the set)."""
 
     def run(batches):
         for b in slices(batches):
             texts = [t or b"" for t in b.column("text").to_pylist()]
-            values, owners = shingle_sets(texts)
+            values, owners = shingle_sets(texts, width)
             sizes = np.bincount(owners, minlength=len(texts))
             keys = set_keys(values, sizes)
             parts = np.split(values, np.cumsum(sizes)[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(sizes.astype(np.int64)), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([(p >> np.uint64(32)).astype(np.uint32).tobytes() for p in parts], pa.binary())], names=["k1", "k2", "n", "members", "prints"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(sizes.astype(np.int64)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["k1", "k2", "n", "members"])
 
     wanted = raw(docs, *KEY).join(nodes.select("first.*"), KEY, "left_semi").dropDuplicates(KEY)
-    sets = wanted.select("doc_id", "text").mapInArrow(run, "k1 long, k2 long, n long, members binary, prints binary")
-    return sets.join(nodes.select("node", "k1", "k2", F.col("n_shingles").alias("n")), ["k1", "k2", "n"]).select("node", "n", "members", "prints").dropDuplicates(["node"])
+    sets = wanted.select("doc_id", "text").mapInArrow(run, "k1 long, k2 long, n long, members binary")
+    return sets.join(nodes.select("node", "k1", "k2", F.col("n_shingles").alias("n")), ["k1", "k2", "n"]).select("node", "n", "members").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -166,7 +175,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = materialize(small.select("e.u", "e.v").where("u != v").distinct(), "star")
+        last, edges = edges, materialize(small.select("e.u", "e.v").where("u != v").distinct(), "star")
+        discard(last)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
@@ -199,11 +209,10 @@ def pivot_pairs(buckets: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long").distinct()
 
 
-def common_prints(x: list[bytes], y: list[bytes]) -> np.ndarray:
-    """At least the number of elements that each set of ``x`` shares with each of ``y``,
-    from 32-bit prints of their elements."""
-    sizes = np.array([len(p) // 4 for p in x + y])
-    flat, owner = np.frombuffer(b"".join(x + y), np.uint32), np.repeat(np.arange(len(sizes)), sizes)
+def common_members(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """The number of elements that each set of ``x`` shares with each of ``y``."""
+    sizes = np.array([len(p) // 8 for p in x + y])
+    flat, owner = np.frombuffer(b"".join(x + y), np.uint64), np.repeat(np.arange(len(sizes)), sizes)
     values, code = np.unique(flat, return_inverse=True)
     mine = owner < len(x)
     shared = np.zeros(len(values), bool)
@@ -220,9 +229,7 @@ def common_prints(x: list[bytes], y: list[bytes]) -> np.ndarray:
         has = np.zeros((len(sizes), width), np.float32)
         has[owner[a:z], code[a:z] - start] = 1
         out += has[: len(x)] @ has[len(x) :].T
-    # elements of one set with equal prints were counted once
-    twice = np.array([n - len(np.unique(np.frombuffer(p, np.uint32))) for n, p in zip(sizes, x + y, strict=True)])
-    return out + np.minimum(twice[: len(x)][:, None], twice[len(x) :])
+    return out
 
 
 def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -242,81 +249,102 @@ def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return keep
 
 
-def cell_pairs(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+def cell_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     """Links across components in all buckets that still have several.
 
     The members outside one component of the bucket meet all members, in cells of
-    at most two times ``CELL`` expected rows. The cell compares sketches, then the
-    prints of the elements of those that may be alike, and gives out only links
-    that join components: fewer than its rows, however many pairs it holds.
+    at most two times ``CELL`` expected rows. A cell first compares sketches; only
+    those that may be alike get their sets, which then decide each pair exactly. The
+    cell gives out only links that join components: fewer than its rows, however
+    many pairs it holds.
     """
     lead = buckets.groupBy("key").agg(
         F.min(F.struct(F.xxhash64(F.lit("lead"), "node").alias("h"), "component")).alias("p"), F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("m")
     ).where("low != high").select("key", F.col("p.component").alias("lead"), "m")
     rows = buckets.join(lead, "key")
     sides = rows.where("component != lead").groupBy("key").agg(F.count(F.lit(1)).alias("u"))
-    rows = rows.join(sides, "key").join(sets.select("node", "prints"), "node")
+    rows = rows.join(sides, "key")
     us, ms = F.ceil(F.col("u") / CELL).cast("int"), F.ceil(F.col("m") / CELL).cast("int")
     place = lambda n: F.pmod(F.xxhash64(F.lit("cell"), "node"), n).cast("int")
-    out = ["key", "node", "component", "n", "small", "prints"]
+    out = ["key", "node", "component", "n", "small"]
     everyone = rows.select(*out, F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0), us - 1)).alias("i"), place(ms).alias("j"))
     others = rows.where("component != lead").select(*out, F.lit(1).alias("side"), place(us).alias("i"), F.explode(F.sequence(F.lit(0), ms - 1)).alias("j"))
-    cells = everyone.union(others).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
-
-    def run(batches):
-        for cell in stretches(batches, ["key", "i", "j"]):
-            node, comp, n, side = (cell.column(c).to_numpy() for c in ("node", "component", "n", "side"))
-            small = np.frombuffer(b"".join(cell.column("small").to_pylist()), np.uint8).reshape(len(node), -1)
-            x, y = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
-            if not len(x) or not len(y):
-                continue
-            ok = (alike(small[x], small[y]) >= LEAST_EQUAL) & (comp[x][:, None] != comp[y][None, :])
-            ok &= np.minimum(n[x][:, None], n[y]) * 100 >= np.maximum(n[x][:, None], n[y]) * SIMILARITY
-            x, y, ok = x[ok.any(1)], y[ok.any(0)], ok[ok.any(1)][:, ok.any(0)]
+    at = ["key", "i", "j"]
+    cells = everyone.union(others).repartition(*at).sortWithinPartitions(*at, "side")
+
+    def near(cell):
+        node, comp, n, side = (cell.column(c).to_numpy() for c in ("node", "component", "n", "side"))
+        small = np.frombuffer(b"".join(cell.column("small").to_pylist()), np.uint8).reshape(len(node), -1)
+        x, y = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+        if not len(x) or not len(y):
+            return x, y, np.zeros((len(x), len(y)), bool)
+        ok = (alike(small[x], small[y]) >= LEAST_EQUAL) & (comp[x][:, None] != comp[y][None, :])
+        ok &= np.minimum(n[x][:, None], n[y]) * 100 >= np.maximum(n[x][:, None], n[y]) * SIMILARITY
+        return x[ok.any(1)], y[ok.any(0)], ok[ok.any(1)][:, ok.any(0)]
+
+    def maybe(batches):
+        for cell in stretches(batches, at):
+            x, y, _ = near(cell)
+            if len(x):
+                yield from cell.take(pa.array(np.sort(np.append(x, y)))).combine_chunks().to_batches()
+
+    schema = "key long, node long, component long, n long, small binary, side int, i int, j int"
+    hopeful = materialize(cells.select(*out, "side", "i", "j").mapInArrow(maybe, schema), "near-cells")
+
+    def decide(batches):
+        for cell in stretches(batches, at):
+            x, y, ok = near(cell)
             if not len(x):
                 continue
-            prints = cell.column("prints")
-            common = common_prints(prints.take(pa.array(x)).to_pylist(), prints.take(pa.array(y)).to_pylist())
+            node, comp, n = (cell.column(c).to_numpy() for c in ("node", "component", "n"))
+            members = cell.column("members")
+            common = common_members(members.take(pa.array(x)).to_pylist(), members.take(pa.array(y)).to_pylist())
             i, j = np.nonzero(ok & (100 * common >= SIMILARITY * (n[x][:, None] + n[y] - common)))
-            order = np.argsort(-common[i, j], kind="stable")
-            i, j = i[order], j[order]
             keep = spanning(comp[x][i], comp[y][j])
             a, b = node[x][i[keep]], node[y][j[keep]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return cells.mapInArrow(run, "a long, b long").distinct()
+    whole = hopeful.join(sets.select("node", "members"), "node").repartition(*at).sortWithinPartitions(*at, "side")
+    links = materialize(whole.mapInArrow(decide, "a long, b long").distinct(), "near-cell-links")
+    discard(hopeful)
+    return links
 
 
-def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def linked_sets(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     """For ``docs`` from ``keyed``: the sketched rows, and ``k1, k2, n_shingles, first``
     per distinct set that is not empty. ``first`` is the key of the row with the smallest id, rows
     without one last, of all rows whose sets are linked to this one."""
-    table = materialize(sketched(docs), "near-sketches")
-    sets_of = table.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(
+    sketches_of = materialize(sketched(docs, width), "near-sketches")
+    sets_of = sketches_of.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(
         F.min(F.struct(*KEY)).alias("first"), F.first("bands").alias("bands"), F.first("small").alias("small")
     )
     classes = materialize(sets_of.withColumn("node", F.monotonically_increasing_id()), "near-classes")
+    table = materialize(sketches_of.drop("bands", "small"), "near-rows")
+    discard(sketches_of)
     members = classes.select(F.explode("bands").alias("key"), "node")
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
     buckets = materialize(
         members.join(shared, "key").join(classes.select("node", F.col("n_shingles").alias("n"), "small"), "node"), "near-buckets"
     )
-    wanted = classes.join(buckets.select("node").distinct(), "node", "left_semi")
-    sets = materialize(full_sets(docs, wanted.select("node", "k1", "k2", "n_shingles", "first")), "near-sets")
-    labels = None
+    nodes = materialize(classes.select("node", "k1", "k2", "n_shingles", "first"), "near-nodes")
+    discard(classes)
+    wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
+    sets = materialize(full_sets(docs, wanted, width), "near-sets")
     # a large group has a pivot in each of its buckets; the cells decide what these leave
-    steps = [pivot_pairs, lambda t: cell_pairs(t, sets)]
-    for step in steps:
-        now = buckets.withColumn("component", F.col("node")) if labels is None else buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        pairs = materialize(step(now), "near-pairs")
-        found = None if pairs.isEmpty() else materialize(confirmed(pairs, sets), "near-links")
-        if found is None or found.isEmpty():
-            continue
+    pairs = materialize(pivot_pairs(buckets.withColumn("component", F.col("node"))), "near-pairs")
+    found = materialize(confirmed(pairs, sets), "near-links")
+    labels = None if found.isEmpty() else components(found)
+    if labels is None:
+        now = buckets.withColumn("component", F.col("node"))
+    else:
+        now = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    more = cell_links(now, sets)
+    if not more.isEmpty():
         # components so far stand in for the links that made them
         if labels is not None:
-            found = found.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        labels = components(found)
-    nodes = classes.select("node", "k1", "k2", "n_shingles", "first")
+            more = more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        labels = components(more)
+    discard(buckets, sets, pairs, found)
     if labels is None:
         return table, nodes.drop("node")
     nodes = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -324,15 +352,15 @@ def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return table, nodes.drop("first").join(firsts, "component").select("k1", "k2", "n_shingles", "first")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row.
+def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row, by shingles of ``width`` words.
 
     Every distinct set is a node, whatever the ids of its rows; ``component_id`` is the
     smallest id among the linked rows, NULL if none has an id. Then the rows of one
     text are kept. NULL and blank texts have an empty set and stay by themselves. A row
     that repeats another in full has its result. Other columns are ignored.
     """
-    table, sets = linked_sets(keyed(docs.select("doc_id", "text")))
+    table, sets = linked_sets(keyed(docs.select("doc_id", "text")), width)
     own = table.where("n_shingles > 0").select(*KEY, "n_shingles", "k1", "k2").join(sets, ["k1", "k2", "n_shingles"])
     one = F.when(F.col("_no_id"), F.struct(*KEY) == F.col("first")).otherwise(F.col("_id") == F.col("first._id"))
     linked = own.select(
@@ -342,15 +370,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return linked.union(empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of each component, the first by id, with all its columns. Rows without
-    words stay, but one of those that share an id and text."""
+def one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
+    """One row of each component, the first by id, with all its columns, whatever their
+    names. Rows without words stay, but one of those that share an id and text."""
     rows = keyed(docs)
-    _, sets = linked_sets(keyed(docs.select("doc_id", "text")))
+    _, sets = linked_sets(keyed(docs.select("doc_id", "text")), width)
     blank = n_words(F.col("text")) == 0
     firsts = sets.select("first.*").distinct()
-    chosen = rows.where(~blank).join(firsts, KEY, "left_semi").select(*[F.col(f"`{c}`") for c in rows.columns]).union(rows.where(blank & ~F.col("_no_id"))).dropDuplicates(KEY)
-    return chosen.union(rows.where(blank & F.col("_no_id"))).drop(*KEY)
+    chosen = rows.where(~blank).join(firsts, KEY, "left_semi").select(*rows.columns).union(rows.where(blank & ~F.col("_no_id"))).dropDuplicates(KEY)
+    return chosen.union(rows.where(blank & F.col("_no_id"))).select("row.*")
 
 
 @catalog.add("""
@@ -372,4 +400,4 @@ from s join (select a, min(b) as c from reach group by a) r on r.a = s.doc_id
 """)
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their components at a similarity of 0.8 of 2-word shingles."""
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir), 2)
