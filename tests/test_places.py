@@ -1,12 +1,14 @@
+import heapq
 import itertools
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from vereda.functions import geo
-from vereda.operators import graph as gr, spatial as sp
+from vereda.operators import graph as gr, paths as ph, spatial as sp
 from vereda.plans import network
 
 RING = "array<array<struct<x:double,y:double>>>"
@@ -183,6 +185,85 @@ def test_steiner_is_a_tree_within_twice_the_optimum(spark, seed):
     assert sum(c for _, _, c in tree) <= 2 * best_steiner(pairs, terminals)
 
 
+def dijkstra(arcs, sources):
+    """(dist, hops, source, pred) of every reachable node, label by label."""
+    out_of = {}
+    for u, v, c in arcs:
+        out_of.setdefault(u, []).append((v, c))
+    best, heap = {}, [(0.0, 0, s, -1, s) for s in sources]
+    heapq.heapify(heap)
+    while heap:
+        d, h, s, p, n = heapq.heappop(heap)
+        if n not in best:
+            best[n] = (d, h, s, p if h else None)
+            for v, c in out_of.get(n, ()):
+                heapq.heappush(heap, (d + c, h + 1, s, n, v))
+    return best
+
+
+@pytest.fixture(scope="module")
+def city():
+    """A grid with ties, a hub next to every third node and a separate pair."""
+    r = random.Random(3)
+    side = 10
+    pairs = [(a * side + b, a * side + b + 1) for a in range(side) for b in range(side - 1)] + [(n, n + side) for n in range(side * (side - 1))]
+    pairs = [(a, b, float(r.randint(1, 4))) for a, b in pairs] + [(n, 500, 7.0) for n in range(0, side * side, 3)] + [(900, 901, 1.0)]
+    return pairs
+
+
+@pytest.mark.parametrize("block_arcs", [10**6, 60, 8])
+def test_paths_over_blocks_equal_dijkstra(spark, city, block_arcs):
+    arcs = [x for a, b, c in city for x in ((a, b, c), (b, a, c))]
+    sources = [0, 77, 777]
+    got = gr.shortest_paths(pair_frame(spark, arcs), spark.createDataFrame([(s,) for s in sources], "node long"), block_arcs)
+    assert {r["node"]: (r["dist"], r["hops"], r["source"], r["pred"]) for r in got.collect()} == dijkstra(arcs, sources)
+
+
+def test_paths_with_names_as_nodes(spark):
+    arcs = spark.createDataFrame([("b", "a", 1.0), ("a", "ü", 2.0), ("b", "c", 3.0), ("c", "ü", 0.0625)], "u string, v string, cost double")
+    got = gr.shortest_paths(arcs, spark.createDataFrame([("b",)], "node string"))
+    assert {r["node"]: (r["dist"], r["pred"]) for r in got.collect()} == {"b": (0.0, None), "a": (1.0, "b"), "c": (3.0, "b"), "ü": (3.0, "a")}
+
+
+def test_blocks_are_connected_and_bounded(spark, city):
+    arcs = [x for a, b, c in city for x in ((a, b, c), (b, a, c))]
+    rows = ph.grow_blocks(pair_frame(spark, arcs), 60).collect()
+    members = {}
+    for r in rows:
+        members.setdefault(r["block"], set()).add(r["node"])
+    assert len(rows) == len({r["node"] for r in rows}) == 102 and 500 not in {r["node"] for r in rows}
+    assert 2 < len(members) < 60
+    for nodes in members.values():
+        assert sum(u in nodes for u, _, _ in arcs) <= 60
+        seen, todo = set(), [min(nodes)]
+        while todo:
+            n = todo.pop()
+            if n not in seen:
+                seen.add(n)
+                todo += [v for u, v, _ in arcs if u == n and v in nodes]
+        assert seen == nodes
+
+
+def test_a_long_chain_is_one_round(spark):
+    chain = spark.range(1000).selectExpr("id as a", "id + 1 as b", "1.0 as cost")
+    start = time.monotonic()
+    got = gr.shortest_paths(gr.both_ways(chain), spark.createDataFrame([(0,)], "node long"))
+    assert got.agg({"dist": "max", "hops": "max"}).first()["max(dist)"] == 1000.0
+    assert time.monotonic() - start < 60
+
+
+@pytest.mark.parametrize("block_arcs", [10**6, 40])
+def test_steiner_tree_over_blocks(spark, city, block_arcs):
+    tree = [tuple(r) for r in gr.steiner_tree(pair_frame(spark, city), spark.createDataFrame([(t,) for t in (0, 9, 90, 99, 45)], "node_id long"), block_arcs=block_arcs).collect()]
+    nodes = {n for a, b, _ in tree for n in (a, b)}
+    assert {0, 9, 90, 99, 45} <= nodes and len(tree) == len(nodes) - 1
+
+
+def test_forest_on_the_driver_equals_rounds(spark, city):
+    pairs = spark.createDataFrame(city, "a long, b long, cost double")
+    assert sorted(map(tuple, gr.spanning_forest(pairs).collect())) == sorted(map(tuple, gr.grown_forest(pairs).collect()))
+
+
 def test_steiner_survives_distances_that_differ_by_rounding(spark):
     # a 4 x 4 grid of equal decimal costs: sums differ in the last digit only
     grid = [(r * 4 + c, r * 4 + c + 1, 0.1) for r in range(4) for c in range(3)]

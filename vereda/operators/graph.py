@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from vereda.functions.numeric import clip_below, edge_cost
+from vereda.operators.paths import BLOCK_ARCS, owners, shortest_paths, ways
 from vereda.operators.spatial import inside_study_area
 from vereda.session import materialize
 
@@ -83,38 +84,26 @@ def both_ways(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.inline(arcs))
 
 
-def shortest_paths(arcs: DataFrame, sources: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """(node, dist, source, pred, hops): for every reachable node the nearest
-    source, the distance and the node before it.
+#: edges of a forest that the driver picks from by itself
+LOCAL_PAIRS = 100_000
 
-    ``arcs(u, v, cost)`` with positive costs, ``sources(node)``. Each round
-    relaxes only the arcs that leave nodes improved in the round before, and
-    merges the offers into the state by one grouped minimum: partial minima are
-    formed before the shuffle, so a node with very many arcs is no hot spot.
-    Equal distances keep the earlier round, then the smaller source, then the
-    smaller predecessor.
-    """
-    arcs = materialize(arcs.select("u", "v", F.col("cost").cast("double").alias("cost")), "arcs")
-    kind = arcs.schema["u"].dataType
-
-    def label(dist, hops, source, pred):
-        return F.struct(dist.alias("dist"), hops.alias("hops"), source.alias("source"), pred.alias("pred")).alias("s")
-
-    node = F.col("node").cast(kind)
-    start = label(F.lit(0.0), F.lit(0), node, F.lit(None).cast(kind))
-    state = materialize(sources.select(node.alias("node"), start).distinct(), "paths")
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        front = state.where(F.col("s.hops") == rounds)
-        if front.isEmpty():
-            break
-        rounds += 1
-        offers = front.join(arcs, F.col("node") == F.col("u")).select(
-            F.col("v").alias("node"),
-            label(F.col("s.dist") + F.col("cost"), F.lit(rounds), F.col("s.source"), F.col("u")),
-        )
-        state = materialize(state.unionByName(offers).groupBy("node").agg(F.min("s").alias("s")), "paths")
-    return state.select("node", "s.dist", "s.source", "s.pred", "s.hops")
+
+def small_forest(rows: list) -> list:
+    """The rows (a, b, cost, ...) of a minimum spanning forest, ties by the pair."""
+    above: dict = {}
+
+    def root(v):
+        while above.setdefault(v, v) != v:
+            above[v] = v = above[above[v]]
+        return v
+
+    out = []
+    for r in sorted(rows, key=lambda r: (r["cost"], r["a"], r["b"])):
+        x, y = root(r["a"]), root(r["b"])
+        if x != y:
+            above[x] = y
+            out.append(r)
+    return out
 
 
 def spanning_forest(pairs: DataFrame) -> DataFrame:
@@ -122,9 +111,17 @@ def spanning_forest(pairs: DataFrame) -> DataFrame:
 
     Every round each component takes its cheapest outgoing edge, ties by the
     pair, and components merge along the chosen edges; at least half of them
-    disappear per round.
+    disappear per round. A table of at most ``LOCAL_PAIRS`` pairs needs no rounds.
     """
     pairs = materialize(pairs, "pairs")
+    few = pairs.collect() if pairs.count() <= LOCAL_PAIRS else None
+    if few is not None:
+        return pairs.sparkSession.createDataFrame(small_forest(few), pairs.schema)
+    return grown_forest(pairs)
+
+
+def grown_forest(pairs: DataFrame) -> DataFrame:
+    """``spanning_forest`` of a stored table of any size."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     label = materialize(nodes.select("node", F.col("node").alias("comp")), "labels")
     chosen = []
@@ -188,7 +185,16 @@ def ancestor_jumps(paths: DataFrame) -> list[DataFrame]:
         jumps.append(doubled.select("node", F.col("next").alias("to")))
 
 
-def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost") -> DataFrame:
+def climbed(paths: DataFrame, ends: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """(node, pred) of all nodes from ``ends(node)`` to their sources, by ``ancestor_jumps``."""
+    marked = ends.distinct()
+    for jump in jumps:
+        reached = marked.join(jump, "node").select(F.col("to").alias("node"))
+        marked = materialize(marked.unionByName(reached).distinct(), "marked")
+    return paths.join(marked, "node", "left_semi").select("node", "pred")
+
+
+def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost", block_arcs: int = BLOCK_ARCS) -> DataFrame:
     """(a, b, cost): a tree that connects the terminals, at most twice as
     expensive as the best one (Mehlhorn 1988).
 
@@ -199,8 +205,6 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost") -
     terminals. ``terminals(node_id)``; those outside the graph are skipped.
     """
     distinct = terminals.select("node_id").distinct()
-    if distinct.limit(2).count() < 2:
-        raise ValueError("a corridor needs two different terminals")
     pairs = materialize(undirected_min(edges, weight), "pairs")
     arcs = both_ways(pairs)
     valid = materialize(
@@ -209,14 +213,16 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost") -
     )
     k = valid.count()
     if k < 2:
+        if distinct.limit(2).count() < 2:
+            raise ValueError("a corridor needs two different terminals")
         raise ValueError("fewer than two terminals lie in the graph")
 
-    paths = shortest_paths(arcs, valid)
-    jumps = ancestor_jumps(paths)
+    paths = shortest_paths(arcs, valid, block_arcs, stored=True)
     # a node belongs to the terminal its predecessors lead to, which also holds
     # where rounding made two distances equal
-    owned = paths.select("node", "dist").join(jumps[-1].select("node", F.col("to").alias("owner")), "node")
-    owned = materialize(owned, "owned")
+    jumps = None if paths.count() <= block_arcs else ancestor_jumps(paths)
+    owner = owners(paths) if jumps is None else jumps[-1].select("node", F.col("to").alias("owner"))
+    owned = materialize(paths.select("node", "dist").join(owner, "node"), "owned")
     side = lambda n: owned.select(F.col("node").alias(n), F.col("dist").alias(f"d{n}"), F.col("owner").alias(f"s{n}"))
     through = F.col("da") + F.col("cost") + F.col("db")
     bridges = (
@@ -233,15 +239,9 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost") -
         raise ValueError("terminals are not connected")
 
     # all nodes between the bridge ends and their terminals
-    marked = tree.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    for jump in jumps:
-        reached = marked.join(jump, "node").select(F.col("to").alias("node"))
-        marked = materialize(marked.unionByName(reached).distinct(), "marked")
-    inner = (
-        paths.join(marked, "node", "left_semi")
-        .where(F.col("pred").isNotNull())
-        .select(F.least("node", "pred").alias("a"), F.greatest("node", "pred").alias("b"))
-    )
+    ends = tree.select(F.explode(F.array("x", "y")).alias("node"))
+    inner = ways(paths, ends) if jumps is None else climbed(paths, ends, jumps)
+    inner = inner.where(F.col("pred").isNotNull()).select(F.least("node", "pred").alias("a"), F.greatest("node", "pred").alias("b"))
     outer = tree.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     return pairs.join(inner.unionByName(outer).distinct(), ["a", "b"], "left_semi").select("a", "b", "cost")
 
