@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from bindings.common import Catalog, r6, table
 from vereda.operators import evaluation as ev, quality as q, sampling as sm
+from vereda.operators.graph import split_terminals
+from vereda.operators.stats import column_facts
 from vereda.session import materialize, scratch_path
 from vereda.sources import readers, runlog, writers
 
@@ -130,10 +134,117 @@ union all
 select c_custkey, 'missing' from customer where c_custkey not in (select o_custkey from orders where o_orderpriority = '1-URGENT')
 """)
 def membership_split(spark, sf):
-    customer = table(spark, sf, "customer").select("c_custkey")
-    urgent = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
-    there = customer.join(urgent, "c_custkey", "left_semi").withColumn("side", F.lit("present"))
-    return there.unionByName(customer.join(urgent, "c_custkey", "left_anti").withColumn("side", F.lit("missing")))
+    customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("node_id"))
+    urgent = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("node_id"))
+    there, missing = [
+        side.select(F.col("node_id").alias("c_custkey"), F.lit(name).alias("side"))
+        for side, name in zip(split_terminals(customer, urgent), ("present", "missing"))
+    ]
+    return there.unionByName(missing)
+
+
+@catalog.add("""
+with refs as (select regexp_extract(url, '^https?://([^/?#]+)', 1) as company, url from pages)
+select company, url from refs
+""")
+def targets_csv(spark, sf):
+    """Crawl targets written as CSV and read with their two columns."""
+    pages = table(spark, sf, "pages").select(F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("company"), "url")
+    path = scratch_path(spark, "targets")
+    writers.write_csv(pages, path)
+    return readers.read_targets(spark, path)
+
+
+@catalog.add("""
+select source as company, cast(doc_id as varchar) as review_title, text as pros, cast(null as varchar) as cons, null as source_url, n_chars as page_number from documents
+""")
+def review_file(spark, sf):
+    """Reviews through the fixed file format; absent columns come back as NULL."""
+    reviews = table(spark, sf, "documents").select(
+        F.col("source").alias("company"), F.col("doc_id").cast("string").alias("review_title"), F.col("text").alias("pros"),
+        F.lit("").alias("cons"), F.col("n_chars").alias("page_number"), "lang",
+    )
+    path = scratch_path(spark, "reviews")
+    writers.write_reviews(reviews, path)
+    return readers.read_csv(spark, path, "company string, review_title string, pros string, cons string, source_url string, page_number long")
+
+
+@catalog.add("select c_custkey, c_name, c_nationkey from customer")
+def table_roundtrip(spark, sf):
+    """A catalog table that is replaced and read by name."""
+    name = f"vereda_{uuid.uuid4().hex}"
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    path = scratch_path(spark, "catalog")
+    writers.replace_table(customers.where("c_nationkey < 5").drop("c_name"), name, path)
+    writers.replace_table(customers, name, path)
+    return readers.first_nonempty([lambda: readers.load_input(spark, f"table:{name}")])
+
+
+@catalog.add("select c_custkey, n_regionkey from customer join nation on c_nationkey = n_nationkey where n_regionkey in (0, 1, 2, 3)")
+def joined_lists(spark, sf):
+    """The customers of four regions, list after list."""
+    customers = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    lists = [customers.where(F.col("n_regionkey") == r).select("c_custkey", "n_regionkey") for r in range(4)]
+    return ev.union_all(lists)
+
+
+def outcome(check) -> str:
+    try:
+        check()
+    except ValueError:
+        return "refused"
+    return "passed"
+
+
+@catalog.add("""
+with l as (select quality, toxic from documents left join labels using (doc_id))
+select 'rows' as guard, 'all events' as given, case when count(*) > 0 then 'passed' else 'refused' end as outcome from events
+union all select 'rows', 'events of no type', case when count(*) > 0 then 'passed' else 'refused' end from events where event_type = 'absent'
+union all select 'columns', 'documents', case when count(*) = 2 then 'passed' else 'refused' end
+  from information_schema.columns where table_name = 'documents' and column_name in ('text', 'lang')
+union all select 'columns', 'labels', case when count(*) = 2 then 'passed' else 'refused' end
+  from information_schema.columns where table_name = 'labels' and column_name in ('quality', 'lang')
+union all select 'values', 'labels', case when count(quality) > 0 and count(toxic) > 0 then 'passed' else 'refused' end from l
+union all select 'values', 'documents without label', case when count(quality) > 0 and count(toxic) > 0 then 'passed' else 'refused' end from l where quality is null
+union all select 'classes', 'labels', case when count(distinct quality) >= 2 then 'passed' else 'refused' end from l
+union all select 'classes', 'good documents', case when count(distinct quality) >= 2 then 'passed' else 'refused' end from l where quality = 1
+union all select 'classes', 'documents without label', case when count(distinct quality) >= 2 then 'passed' else 'refused' end from l where quality is null
+union all select 'features', 'lineitem', case when count(*) >= 4 then 'passed' else 'refused' end from information_schema.columns
+  where table_name = 'lineitem' and data_type in ('BIGINT', 'INTEGER', 'DOUBLE') and column_name <> 'l_quantity'
+union all select 'features', 'labels', case when count(*) >= 4 then 'passed' else 'refused' end from information_schema.columns
+  where table_name = 'labels' and data_type in ('BIGINT', 'INTEGER', 'DOUBLE') and column_name <> 'quality'
+union all select 'area key', 'nation', case when count(*) > 0 then 'passed' else 'refused' end
+  from information_schema.columns where table_name = 'nation' and column_name in ('ageb_id', 'cvegeo', 'CVEGEO')
+""")
+def guards(spark, sf):
+    """What each check says of tables that satisfy it and of some that don't."""
+    docs, labels, events = labelled(spark, sf), table(spark, sf, "labels"), table(spark, sf, "events")
+    bare = docs.where("quality is null")
+    some_value = lambda df: q.require_some_value(["quality", "toxic"], column_facts(df, ["quality", "toxic"]))
+    checks = [
+        ("rows", "all events", lambda: q.require_rows(events)),
+        ("rows", "events of no type", lambda: q.require_rows(events.where("event_type = 'absent'"))),
+        ("columns", "documents", lambda: q.require_columns(table(spark, sf, "documents"), ["text", "lang"])),
+        ("columns", "labels", lambda: q.require_columns(labels, ["quality", "lang"])),
+        ("values", "labels", lambda: some_value(docs)),
+        ("values", "documents without label", lambda: some_value(bare)),
+        ("classes", "labels", lambda: q.require_classes(docs, "quality")),
+        ("classes", "good documents", lambda: q.require_classes(docs.where("quality = 1"), "quality")),
+        ("classes", "documents without label", lambda: q.require_classes(bare, "quality")),
+        ("features", "lineitem", lambda: q.resolve_features(table(spark, sf, "lineitem"), "l_quantity")),
+        ("features", "labels", lambda: q.resolve_features(labels, "quality")),
+        ("area key", "nation", lambda: q.area_key(table(spark, sf, "nation"))),
+    ]
+    return spark.createDataFrame([(guard, given, outcome(check)) for guard, given, check in checks], "guard string, given string, outcome string")
+
+
+@catalog.add("select l_orderkey as ageb_id, l_linenumber, round(l_orderkey + l_partkey + l_suppkey + l_linenumber + l_extendedprice + l_discount + l_tax, 4) as total from lineitem")
+def resolved_features(spark, sf):
+    """An accepted area key, and the sum of the number columns that count as features."""
+    lines = q.area_key(table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "cvegeo"))
+    columns = q.resolve_features(lines, "l_quantity", never=["ageb_id"])
+    total = F.col("ageb_id") + sum((F.col(c) for c in columns[1:]), F.col(columns[0]))
+    return lines.select("ageb_id", "l_linenumber", r6(total, 4).alias("total"))
 
 
 @catalog.add("select event_id, event_type, value from events where value > 100")

@@ -6,7 +6,8 @@ from pyspark.sql import Window as W, functions as F
 
 from bindings.common import Catalog, r6, table
 from vereda.functions import text as tx
-from vereda.operators import extract as ex, language as lg, lexicon as lx, quality as q, text as tt, tfidf as tf
+from vereda.operators import evaluation as ev, extract as ex, language as lg, lexicon as lx, text as tt, tfidf as tf
+from vereda.plans import reviews
 from vereda.session import materialize
 
 catalog = Catalog()
@@ -141,8 +142,7 @@ def tfidf_vocabulary(spark, sf):
     + " select doc_id, term, tf, round(x / sqrt(sum(x * x) over (partition by doc_id)), 6) as weight from raw"
 )
 def tfidf_weights(spark, sf):
-    d = docs(spark, sf)
-    out = tf.tfidf(d, "doc_id", "text", tf.fit_vocabulary(d, "text"))
+    _, out = tf.fit_transform(docs(spark, sf), "doc_id", "text")
     return out.select("doc_id", "term", "tf", r6("weight").alias("weight"))
 
 
@@ -333,6 +333,53 @@ def extract_reviews(spark, sf):
     return ex.extract_reviews(table(spark, sf, "pages")).select("page_id", "review_title", "pros", "cons")
 
 
+REVIEW_TEXT = "trim(regexp_replace(regexp_replace(lower(substr(text, 1, 200)), '[^a-z ]', ' ', 'g'), ' +', ' ', 'g'))"
+
+
+@catalog.add(f"""
+with t as (select doc_id, lang, source, {REVIEW_TEXT} as c from documents)
+select doc_id, 'Review ' || doc_id as review_title, c as pros, case when doc_id % 3 = 0 then '' else source || ' & ' || lang end as cons from t
+""")
+def marked_reviews(spark, sf):
+    """Reviews out of pages made of the documents: markers of two languages, entities,
+    a script, text that only resembles a marker, and articles without a cons part."""
+    text = tx.collapse_spaces(F.regexp_replace(F.lower(F.substring("text", 1, 200)), "[^a-z ]", " "))
+    es = F.col("lang") == "es"
+    page = F.concat(
+        F.lit("<html><script>var a = '<article><h3>no</h3></article>';</script><article><h3>Review&nbsp;"), F.col("doc_id"),
+        F.lit("</h3><p>Consejos</p><p>none</p><p class='m'>"), F.when(es, "Ventajas").otherwise("Pros"), F.lit("</p><p><b>"), text, F.lit("</b></p>"),
+        F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("<p>"), F.when(es, "Desventajas").otherwise("Cons"), F.lit("</p><p>"), "source", F.lit(" &amp; "), "lang", F.lit("</p>"))),
+        F.lit("</article><article><p>Pros</p><p>untitled</p></article></html>"),
+    )
+    pages = docs(spark, sf).select("doc_id", page.alias("html"))
+    return ex.extract_reviews(pages).select("doc_id", "review_title", "pros", "cons")
+
+
+@catalog.add(
+    TRIGRAM_SQL
+    + """, tagged as (select documents.doc_id, case when best.lang in ('en', 'es') then best.lang else 'unknown' end as language,
+      case when documents.doc_id % 2 = 0 then 'pros' else 'cons' end as label from documents left join best using (doc_id))
+    select 'language' as kind, language as value, count(*) as n from tagged group by language
+    union all select 'label', label, count(*) from tagged group by label
+    union all select 'lexicon', 'not_installed', count(*) from documents
+    union all select 'model', 'not_installed', count(*) from documents"""
+)
+def review_job(spark, sf):
+    """The whole text job on reviews made of the documents: the counts that it reports."""
+    d = docs(spark, sf)
+    even = F.col("doc_id") % 2 == 0
+    given = d.select(
+        F.col("source").alias("company"), F.col("doc_id").cast("string").alias("review_title"),
+        F.when(even, F.col("text")).alias("pros"), F.when(~even, F.col("text")).alias("cons"),
+    )
+    cleaned = materialize(d.select("doc_id", "lang", tx.clean_text(F.col("text")).alias("clean_text")), "clean")
+    stop, lemma = stop_and_lemma(cleaned)
+    done = reviews.run(given, lg.learn_profiles(d, "text", "lang"), stop, lemma)
+    counts = [("language", done.language_counts, "language"), ("label", done.label_counts, "segment_label"), ("lexicon", done.lexicon_counts, "lexicon_label"), ("model", done.model_counts, "model_label")]
+    parts = [df.select(F.lit(kind).alias("kind"), F.col(c).alias("value"), "n") for kind, df, c in counts]
+    return ev.union_all(parts)
+
+
 @catalog.add(f"select page_id, md5({_unescaped_sql('html')}) as unescaped from pages")
 def html_entities(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(tx.unescape_html(F.col("html"))).alias("unescaped"))

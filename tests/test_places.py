@@ -289,3 +289,44 @@ def test_network_job(spark):
     got = network.run(areas, nodes, edges, k=3)
     # node 4 lies outside the study area; both directions of two pairs remain
     assert sorted((r["u"], r["v"]) for r in got.collect()) == [(0, 1), (1, 0), (1, 2), (2, 1)]
+
+
+def ragged(r, n, x, y, size):
+    """A polygon of ``n`` corners around a place."""
+    turn = [2 * math.pi * (k + r.random() * 0.8) / n for k in range(n)]
+    return [[(x + size * r.uniform(0.4, 1.0) * math.cos(t), y + size * r.uniform(0.4, 1.0) * math.sin(t)) for t in turn]]
+
+
+@pytest.mark.parametrize("heavy,hot", [(10**9, 10**9), (40, 10**9), (40, 50), (10**9, 20)])
+def test_cut_and_crowded_cells_change_nothing(spark, heavy, hot):
+    r = random.Random(5)
+    shapes = [("all", ragged(r, 40, 50, 50, 90)), *[(f"p{i}", ragged(r, r.choice([3, 8, 25]), r.uniform(0, 100), r.uniform(0, 100), r.uniform(1, 30))) for i in range(12)]]
+    shapes += [("hole", [[(20.0, 20.0), (80.0, 20.0), (80.0, 80.0), (20.0, 80.0)], [(40.0, 40.0), (60.0, 40.0), (60.0, 60.0), (40.0, 60.0)]])]
+    pts = [(i, r.uniform(-5, 105), r.uniform(-5, 105)) for i in range(400)] + [(1000 + i, 30.0, 30.0) for i in range(150)]
+    pts += [(2000 + i, 20.0 + i % 5 * 15.0, 20.0) for i in range(20)]
+    areas = spark.createDataFrame(shapes, f"area_id string, rings {RING}")
+    df = spark.createDataFrame(pts, "pid int, x double, y double").repartition(4)
+    got = sorted(map(tuple, sp.points_in_polygons(df, areas, ["pid"], heavy=heavy, hot=hot).collect()))
+
+    def inside(x, y, rings):
+        odd = False
+        for ring in rings:
+            for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]]):
+                if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                    return False
+                odd ^= (y1 > y) != (y2 > y) and x < x1 + (x2 - x1) * ((y - y1) / (y2 - y1))
+        return odd
+
+    assert got == sorted((i, a) for i, x, y in pts for a, rings in shapes if inside(x, y, rings))
+
+
+def test_a_polygon_over_everything_is_cut(spark):
+    grid = sp.Grid(0.0, 0.0, 64.0)
+    edges = F.array(*[F.struct(*[F.lit(float(v)).alias(k) for k, v in zip(("x1", "y1", "x2", "y2"), e)]) for e in ((0, 0, 64, 0), (64, 0, 64, 64), (64, 64, 0, 64), (0, 64, 0, 0))])
+    cells = spark.range(1).select(F.lit("all").alias("a"), edges.alias("_edges"), F.lit(0).alias("_level"), F.lit(0).cast("long").alias("_cx"), F.lit(0).cast("long").alias("_cy"))
+    out = sp.refined(cells, grid, "a", 4)
+    inner = out.where("_edges is null")
+    # 16 x 16 cells without the rim, told in cells as large as possible
+    assert inner.agg(F.sum(F.expr("pow(4, 4 - _level)"))).first()[0] == 14 * 14
+    assert out.where("_edges is not null").count() == 60 and inner.count() < 14 * 14
+    assert out.where("_edges is not null").agg(F.max(F.size("_edges"))).first()[0] < 4

@@ -194,6 +194,12 @@ def climbed(paths: DataFrame, ends: DataFrame, jumps: list[DataFrame]) -> DataFr
     return paths.join(marked, "node", "left_semi").select("node", "pred")
 
 
+def split_terminals(terminals: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The distinct ``terminals(node_id)`` that are among ``nodes(node_id)``, and the missing ones."""
+    distinct, there = terminals.select("node_id").distinct(), nodes.select("node_id")
+    return distinct.join(there, "node_id", "left_semi"), distinct.join(there, "node_id", "left_anti")
+
+
 def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost", block_arcs: int = BLOCK_ARCS) -> DataFrame:
     """(a, b, cost): a tree that connects the terminals, at most twice as
     expensive as the best one (Mehlhorn 1988).
@@ -207,10 +213,8 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost", b
     distinct = terminals.select("node_id").distinct()
     pairs = materialize(undirected_min(edges, weight), "pairs")
     arcs = both_ways(pairs)
-    valid = materialize(
-        distinct.select(F.col("node_id").alias("node")).join(arcs.select(F.col("u").alias("node")), "node", "left_semi"),
-        "terminals",
-    )
+    present, _ = split_terminals(distinct, arcs.select(F.col("u").alias("node_id")))
+    valid = materialize(present.select(F.col("node_id").alias("node")), "terminals")
     k = valid.count()
     if k < 2:
         if distinct.limit(2).count() < 2:

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vereda.functions import geo
 from vereda.functions.text import bind
-from vereda.operators.stats import attach_row
 from vereda.session import materialize
 
 DEEPEST = 40
@@ -38,16 +37,83 @@ def _cell(v: Column, origin: Column, size: Column) -> Column:
     return F.floor((v - origin) / size)
 
 
+class Grid:
+    """Quadtree cells over a square: level 0 is the whole of it, each level halves the side."""
+
+    def __init__(self, x: float, y: float, span: float):
+        self.x, self.y, self.span = x, y, span
+
+    def size(self, level: Column) -> Column:
+        return F.lit(self.span) / F.pow(F.lit(2.0), level)
+
+    def at(self, level: Column, x: Column, y: Column) -> list[Column]:
+        size = self.size(level)
+        return [_cell(x, F.lit(self.x), size).alias("_cx"), _cell(y, F.lit(self.y), size).alias("_cy")]
+
+    def sides(self, level: Column, cx: Column, cy: Column) -> tuple[Column, ...]:
+        """Lower and upper x, then y, a hair wider than the cell, for rounding."""
+        size, slack = self.size(level), F.lit(self.span * 1e-9)
+        low_x, low_y = F.lit(self.x) + cx * size, F.lit(self.y) + cy * size
+        return low_x - slack, low_x + size + slack, low_y - slack, low_y + size + slack
+
+
+def _crosses(e: Column, x1: Column, x2: Column, y1: Column, y2: Column) -> Column:
+    """Whether an edge may touch a box: their boxes meet and no corner test parts them."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    sides = [dx * (y - e["y1"]) - dy * (x - e["x1"]) for x in (x1, x2) for y in (y1, y2)]
+    return (
+        (F.least(e["x1"], e["x2"]) <= x2) & (F.greatest(e["x1"], e["x2"]) >= x1)
+        & (F.least(e["y1"], e["y2"]) <= y2) & (F.greatest(e["y1"], e["y2"]) >= y1)
+        & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+    )
+
+
+def refined(cells: DataFrame, grid: Grid, area: str, depth: int) -> DataFrame:
+    """Boundary cells (area, _edges, _level, _cx, _cy) cut ``depth`` levels finer.
+
+    A finer cell outside the polygon goes; one that no edge crosses lies inside and
+    needs no edges any more (``_edges`` is NULL); a boundary cell keeps the edges that
+    a ray to the right can meet.
+    """
+    out = None
+    for _ in range(depth):
+        halves = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
+        child = cells.withColumn("_h", F.explode(halves)).select(
+            area, "_edges", (F.col("_level") + 1).alias("_level"),
+            (F.col("_cx") * 2 + F.col("_h.i")).alias("_cx"), (F.col("_cy") * 2 + F.col("_h.j")).alias("_cy"),
+        )
+        x1, x2, y1, y2 = grid.sides(F.col("_level"), F.col("_cx"), F.col("_cy"))
+        near = F.filter(
+            "_edges",
+            lambda e: (F.greatest(e["x1"], e["x2"]) >= x1) & (F.least(e["y1"], e["y2"]) <= y2) & (F.greatest(e["y1"], e["y2"]) >= y1),
+        )
+        child = child.withColumn("_edges", near).withColumn("_cut", F.exists("_edges", lambda e: _crosses(e, x1, x2, y1, y2)))
+        whole = child.where(~F.col("_cut")).where(geo.within((x1 + x2) / 2, (y1 + y2) / 2, F.col("_edges")))
+        whole = whole.drop("_cut").withColumn("_edges", F.lit(None).cast(cells.schema["_edges"].dataType))
+        out = whole if out is None else out.unionByName(whole)
+        cells = child.where("_cut").drop("_cut")
+    return cells if out is None else out.unionByName(cells)
+
+
+#: exact tests that a boundary cell may cost before it is cut finer, by how many levels, and how often;
+#: points of a cell that one task looks at, and the number of such parts that are listed at most
+HEAVY, FINER, CUTS, HOT, MOST_HOT = 2_000_000, 4, 4, 1_000_000, 10_000
+
+
 def points_in_polygons(
-    points: DataFrame, polygons: DataFrame, keep: list[str], area: str = "area_id", rings: str = "rings"
+    points: DataFrame, polygons: DataFrame, keep: list[str], area: str = "area_id", rings: str = "rings",
+    heavy: int = HEAVY, hot: int = HOT,
 ) -> DataFrame:
     """``keep`` columns of every point with the ``area`` it lies strictly
     within; a point in several areas gives several rows.
 
     Every polygon is filed at the grid level whose cell is at least as large as
-    its box, hence in at most four cells. A point probes its cell at each level
-    in use (a few dozen numbers at most). Matches are cut to the box and then
-    decided exactly.
+    its box, hence in at most four cells. Where that would cost more than ``heavy``
+    exact tests, the cell is cut into inner cells, whose points match without a test,
+    and boundary cells with only the edges that matter there. A point probes its cell
+    at each level in use. A cell with more than ``hot`` points is met in parts: its
+    points are dealt out and its polygons repeated for each part, so that neither a
+    polygon over everything nor a place with a third of the points is one task's.
     """
     boxed = materialize(
         polygons.select(
@@ -65,34 +131,77 @@ def points_in_polygons(
     if extent["span"] is None:
         kind = polygons.schema[area].dataType
         return points.select(*keep, F.lit(None).cast(kind).alias(area)).limit(0)
-    origin_x, origin_y = F.lit(extent["x"]), F.lit(extent["y"])
     span = float(extent["span"]) or 1.0
+    grid = Grid(extent["x"], extent["y"], span)
 
     side = F.greatest(F.col("_b.x2") - F.col("_b.x1"), F.col("_b.y2") - F.col("_b.y1"))
     level = F.when(side <= span / 2.0**DEEPEST, F.lit(DEEPEST)).otherwise(
         F.least(F.floor(F.log2(F.lit(span) / side)), F.lit(DEEPEST))
     )
-    size = F.lit(span) / F.pow(F.lit(2.0), F.col("_level"))
     filed = boxed.withColumn("_level", level.cast("int"))
-    levels = [r[0] for r in filed.select("_level").distinct().collect()]
-    for axis, origin in (("x", origin_x), ("y", origin_y)):
+    size = grid.size(F.col("_level"))
+    for axis, origin in (("x", grid.x), ("y", grid.y)):
         filed = filed.withColumn(
             f"_c{axis}",
-            F.explode(F.sequence(_cell(F.col(f"_b.{axis}1"), origin, size), _cell(F.col(f"_b.{axis}2"), origin, size))),
+            F.explode(F.sequence(_cell(F.col(f"_b.{axis}1"), F.lit(origin), size), _cell(F.col(f"_b.{axis}2"), F.lit(origin), size))),
         )
+    at = ["_level", "_cx", "_cy"]
+    filed = filed.select(area, "_edges", *at)
 
     inside = points.where(
         F.col("x").between(extent["x"], extent["x2"]) & F.col("y").between(extent["y"], extent["y2"])
     )
-    probes = (
-        inside.select(*dict.fromkeys([*keep, "x", "y"]), F.explode(F.array(*[F.lit(v) for v in levels])).alias("_level"))
-        .withColumn("_cx", _cell(F.col("x"), origin_x, size))
-        .withColumn("_cy", _cell(F.col("y"), origin_y, size))
-    )
+
+    def probes(cells: DataFrame, *columns: str) -> DataFrame:
+        levels = [r[0] for r in cells.select("_level").distinct().collect()]  # at most DEEPEST + CUTS * FINER numbers
+        at_levels = F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>"))
+        return inside.select(*columns, "x", "y", at_levels.alias("_level")).select(
+            *columns, "x", "y", "_level", *grid.at(F.col("_level"), F.col("x"), F.col("y"))
+        )
+
+    def loads(cells: DataFrame) -> DataFrame:
+        """Points in each cell in use; counted before the shuffle."""
+        counts = probes(cells).groupBy(*at).agg(F.count("*").alias("_n"))
+        return materialize(counts.join(cells.select(*at), at, "left_semi"), "loads")
+
+    load, done, waiting, cuts = None, None, filed, 0
+    while cuts < CUTS:
+        # costs are looked at only where points can be many
+        load = loads(waiting)
+        costly = F.coalesce("_n", F.lit(0)) * F.size("_edges") > heavy
+        if cuts == 0 and load.agg(F.max("_n")).first()[0] is None:
+            break
+        marked = waiting.join(load, at, "left").withColumn("_costly", F.col("_edges").isNotNull() & costly)
+        dense = marked.where("_costly").select(area, "_edges", *at)
+        if dense.isEmpty():
+            break
+        light = marked.where(~F.col("_costly")).select(area, "_edges", *at)
+        light = materialize(light, "cells")
+        waiting = materialize(refined(dense, grid, area, FINER), "cells")
+        done = light if done is None else done.unionByName(light)
+        cuts += 1
+    cover = waiting if done is None else done.unionByName(waiting)
+    if cuts:
+        load = loads(cover)
+
+    rows = probes(cover, *[c for c in dict.fromkeys(keep) if c not in ("x", "y")])
+    join_on = at
+    total = load.agg(F.sum("_n")).first()[0] or 0
+    part = max(hot, total // MOST_HOT)
+    crowded = load.where(F.col("_n") > part).select(*at, F.ceil(F.col("_n") / part).cast("int").alias("_parts"))
+    if not crowded.isEmpty():
+        # at most MOST_HOT rows, so the hint is safe
+        crowded = F.broadcast(materialize(crowded, "crowded"))
+        rows = rows.join(crowded, at, "left").withColumn(
+            "_part", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("_parts")).cast("int"), F.lit(0))
+        ).drop("_parts")
+        cover = cover.join(crowded, at, "left").withColumn(
+            "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+        ).drop("_parts")
+        join_on = [*at, "_part"]
     return (
-        probes.join(filed, ["_level", "_cx", "_cy"])
-        .where(F.col("x").between(F.col("_b.x1"), F.col("_b.x2")) & F.col("y").between(F.col("_b.y1"), F.col("_b.y2")))
-        .where(geo.within(F.col("x"), F.col("y"), F.col("_edges")))
+        rows.join(cover, join_on)
+        .where(F.col("_edges").isNull() | geo.within(F.col("x"), F.col("y"), F.col("_edges")))
         .select(*keep, area)
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from vereda.functions import text as tx
 from vereda.operators.quality import require_columns, require_rows
+from vereda.session import materialize
 
 # fixed values: the columns a review and a segment carry
 REVIEW_REQUIRED = ["company", "review_title", "pros", "cons"]
@@ -66,33 +67,75 @@ def top_terms(counts: DataFrame, keys: list[str], k: int) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def frequent_words(words: DataFrame, keys: list[str], most: int) -> tuple[set[str], dict[tuple, int]]:
+    """The ``most`` most frequent words per key of ``words`` (keys, term, n), and per key
+    the largest count of a word that is not among them (0 if all are). ``keys`` have
+    few values."""
+    rows = top_terms(words, keys, most + 1).collect()
+    by_key: dict[tuple, list] = {}
+    for r in rows:
+        by_key.setdefault(tuple(r[k] for k in keys), []).append((-r["n"], r["term"]))
+    kept = {t for found in by_key.values() for _, t in sorted(found)[:most]}
+    left = {key: max((-n for n, t in found if t not in kept), default=0) for key, found in by_key.items()}
+    return kept, left
+
+
+def known_words(tokens: str, words: set[str]) -> Column:
+    """The column's tokens with NULL for those that are not in ``words``; a hash set
+    decides. ``words`` are ``word_tokens``, so they need no quoting."""
+    names = ", ".join(f"'{w}'" for w in sorted(words))
+    return F.expr(f"transform({tokens}, t -> if(t in ({names}), t, cast(null as string)))")
+
+
+#: words whose n-grams are counted first
+WORDS_FIRST = 1000
+
+
+def ngram_counts(df: DataFrame, tokens: Column, keys: list[str], sizes: list[int]) -> DataFrame:
+    """(keys, size, term, n): n-grams without NULL tokens."""
+
+    def sized(t, size):
+        whole = F.filter(tx.ngrams(t, size), lambda g: g.isNotNull())
+        return F.transform(whole, lambda g: F.struct(F.lit(size).alias("size"), g.alias("term")))
+
+    tagged = tx.bind(tokens, lambda t: F.concat(*[sized(t, size) for size in sizes]))
+    counted = df.select(*keys, F.explode(tagged).alias("g"))
+    return counted.groupBy(*keys, "g.size", "g.term").agg(F.count("*").alias("n"))
+
+
+def top_sized_ngrams(df: DataFrame, tokens: Column, keys: list[str], sizes: list[int], k: int, words_first: int = WORDS_FIRST) -> DataFrame:
+    """(keys, size, term, n, rank): the top ``k`` n-grams per key and size; ``keys`` have few values.
+
+    An n-gram is no more frequent than its rarest word. So words are counted first,
+    and then the n-grams of the most frequent words only. If each key and size has
+    ``k`` of them that are more frequent than any word left out, nothing else can be
+    among the top; else all n-grams are counted.
+    """
+    words, left = frequent_words(term_counts(df, tokens, keys), keys, words_first)
+    if words:
+        few = df.select(*keys, tokens.alias("_tokens")).select(*keys, known_words("_tokens", words).alias("_tokens"))
+        found = materialize(top_terms(ngram_counts(few, F.col("_tokens"), keys, sizes), [*keys, "size"], k), "ngrams")
+        cuts = {(tuple(r[c] for c in keys), r["size"]): r["n"] for r in found.where(F.col("rank") == k).collect()}
+        # a key whose words are all among the counted ones is done, however few n-grams it has
+        if all(n == 0 or cuts.get((key, size), 0) > n for key, n in left.items() for size in sizes):
+            return found
+    return top_terms(ngram_counts(df, tokens, keys, sizes), [*keys, "size"], k)
+
+
 def top_ngrams(df: DataFrame, text: str, low: int = 2, high: int = 2, k: int = 15) -> DataFrame:
     """(term, n) over the whole column; words of two or more characters."""
-    grams = tx.ngram_range(tx.word_tokens(F.col(text)), low, high)
-    return top_terms(term_counts(df, grams, []), [], k)
+    tokens = tx.word_tokens(F.col(text))
+    if low == high:
+        return top_sized_ngrams(df, tokens, [], [low], k).select("term", "n")
+    return top_terms(term_counts(df, tx.ngram_range(tokens, low, high), []), [], k)
 
 
 def ngram_summary(
     df: DataFrame, text: str, lang: str, langs: list[str], sizes: list[int] = [2, 3], k: int = 15
 ) -> DataFrame:
-    """(lang, size, term, n, rank): the top n-grams of every size and language
-    out of one scan and one shuffle."""
-
-    def sized(tokens, size):
-        return F.transform(
-            tx.ngrams(tokens, size), lambda g: F.struct(F.lit(size).alias("size"), g.alias("term"))
-        )
-
-    tagged = tx.bind(
-        tx.word_tokens(F.col(text)), lambda tokens: F.concat(*[sized(tokens, size) for size in sizes])
-    )
-    counts = (
-        df.where(F.col(lang).isin(*langs))
-        .select(F.col(lang).alias("lang"), F.explode(tagged).alias("g"))
-        .groupBy("lang", "g.size", "g.term")
-        .agg(F.count("*").alias("n"))
-    )
-    return top_terms(counts, ["lang", "size"], k)
+    """(lang, size, term, n, rank): the top n-grams of every size and language."""
+    chosen = df.where(F.col(lang).isin(*langs)).withColumn("lang", F.col(lang))
+    return top_sized_ngrams(chosen, tx.word_tokens(F.col(text)), ["lang"], sizes, k)
 
 
 def token_frequency(df: DataFrame, text: str, keys: list[str] = [], k: int = 20) -> DataFrame:

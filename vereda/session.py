@@ -64,8 +64,9 @@ def discard(*tables: DataFrame | None) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str = "step") -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back.
+def materialize(df: DataFrame, label: str = "step", row_group: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back. Row groups of at
+    most ``row_group`` bytes let later scans split a step that few tasks wrote.
 
     The result has no lineage, survives the loss of any executor, is computed
     once however often it is used, and carries its real size, so the planner
@@ -73,5 +74,5 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.write if row_group is None else df.write.option("parquet.block.size", row_group)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

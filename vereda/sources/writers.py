@@ -37,8 +37,10 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").option("overwriteSchema", True).saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Replace a table of the catalog, in the warehouse or in a folder of its own."""
+    writer = df.write.mode("overwrite").option("overwriteSchema", True)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def replace_jdbc(df: DataFrame, url: str, table: str, **options) -> None:
