@@ -19,14 +19,13 @@ from __future__ import annotations
 import hashlib
 import math
 
-import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bindings.common import Catalog
-from vereda.llm.common import documents, gram_hashes, hashed_words, raw, task_id
+from vereda.llm.common import documents, gram_hashes, hashed_words, mixed, raw, task_id
 from vereda.session import materialize
 
 catalog = Catalog()
@@ -81,7 +80,8 @@ class Chunk:
         low = g[:m].copy()
         for k in range(1, WINDOW - ANCHOR + 1):
             np.minimum(low, g[k : k + m], out=low)
-        self.anchors = low[self.starts]
+        # the least of several hashes is small, so it is mixed again before it names a range
+        self.anchors = mixed(low[self.starts])
 
     def anchor_codes(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct anchor codes of 32 + ``bits`` bits, and which of them two documents have."""
@@ -207,6 +207,8 @@ def covered(c: Chunk, p: np.ndarray, d: np.ndarray, limit: np.ndarray) -> np.nda
     through it. An occurrence counts in documents with an id above its limit; all
     windows of a passage have the passage's limit.
     """
+    import ahocorasick
+
     number = np.unique(c.hashes, return_inverse=True)[1] + 1
     line = (number + np.where(number >= 0xD800, 0x800, 0)).astype("<u4").tobytes().decode("utf-32-le")
     machine = ahocorasick.Automaton()
@@ -246,7 +248,7 @@ def removals(marked: DataFrame, bits: int, wide: int, with_text: bool) -> DataFr
                     words, mine = text.split(), gone[first[i] : first[i + 1]]
                     n = int(mine.sum())
                     kept = b" ".join(words if not n else [w for w, g in zip(words, mine.tolist(), strict=True) if not g])
-                    out.append((doc_id, len(words), n, hashlib.sha256(kept).hexdigest(), *[kept.decode()] * with_text))
+                    out.append((doc_id, len(words), n, hashlib.sha256(kept).hexdigest(), *[kept.decode("utf-8", "replace")] * with_text))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, pa.int64()) for x in list(zip(*out, strict=True))[:3]] + [pa.array(x, pa.string()) for x in list(zip(*out, strict=True))[3:]], names=names
                 )

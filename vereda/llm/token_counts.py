@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,13 @@ catalog = Catalog()
 TOKENIZER = "word_bpe_49k.json"
 
 
+def cuts_at_spaces(rules: dict) -> bool:
+    """Whether a tokenizer's rules drop white space before they merge."""
+    steps = [rules.get("pre_tokenizer") or {}]
+    steps += steps[0].get("pretokenizers", [])
+    return any(s.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer") or s.get("type") == "Split" and s.get("behavior") == "Removed" for s in steps)
+
+
 class WordTokens(dict):
     """Token count of a word from the tokenizer itself, remembered per worker; forgets when full."""
 
@@ -23,13 +32,16 @@ class WordTokens(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            if not cuts_at_spaces(json.load(f)):
+                raise ValueError("tokens of this tokenizer may span words, so counts of words do not add up")
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
             self.clear()
-        self[word] = n = len(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+        self[word] = n = len(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
         return n
 
 

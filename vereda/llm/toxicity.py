@@ -41,7 +41,7 @@ def word_features(word: str) -> list[str]:
 def text_features(text: bytes | None) -> set[str]:
     """Distinct words without outer punctuation, in lower case, and their beginnings."""
     out: set[str] = set()
-    for w in set((text or b"").decode().lower().split()):
+    for w in set((text or b"").decode("utf-8", "replace").lower().split()):
         out.update(word_features(w))
     return out
 
@@ -71,11 +71,13 @@ class Chain:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, categories: list[str], most: int) -> DataFrame:
     """``doc_id, text`` and one 0/1 column per category for at most ``most`` labelled
-    documents; several labels of a document count as their maximum, NULL as 0."""
+    documents; several labels of a document count as their maximum, NULL as 0. Rows that
+    share an id count as one, with the least of their texts."""
     y = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(*[F.max(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(f"y_{i}") for i, c in enumerate(categories)])
     y = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     # bounded by ``most`` rows of a few numbers, so the texts stay where they are
-    return raw(docs).join(F.broadcast(y), "doc_id")
+    known = raw(docs).join(F.broadcast(y), "doc_id")
+    return known.groupBy(*y.columns).agg(F.min("text").alias("text"))
 
 
 def chosen_features(sample: DataFrame, k: int, most: int) -> list[str]:
@@ -125,7 +127,9 @@ def chosen_features(sample: DataFrame, k: int, most: int) -> list[str]:
 
 def fit_chain(docs: DataFrame, labels: DataFrame, categories=CHAIN, most: int = LABELLED, features: int = FEATURES) -> Chain:
     """Fits the chain on a bounded sample of labelled documents. A category without
-    both answers in the sample has the constant share as its probability."""
+    both answers in the sample has the constant share as its probability. Features that
+    tell equally much are taken by name. Bytes that are no UTF-8 read as U+FFFD. Texts
+    count whole, however long; empty tables give a chain that finds nothing."""
     categories, k = list(categories), len(categories)
     sample = materialize(labelled_sample(docs, labels, categories, most), "toxic-sample")
     names = chosen_features(sample, k, features)
@@ -195,7 +199,7 @@ def _found(texts: list[bytes | None], places: Places) -> list[list[int]]:
     out = []
     for t in texts:
         got: set[int] = set()
-        for w in set((t or b"").decode().lower().encode().split()):
+        for w in set((t or b"").decode("utf-8", "replace").lower().encode().split()):
             got.update(places[w])
         out.append(sorted(got))
     return out
@@ -204,7 +208,7 @@ def _found(texts: list[bytes | None], places: Places) -> list[list[int]]:
 def score_toxicity(docs: DataFrame, chain: Chain) -> DataFrame:
     """``doc_id`` and the probability of each category as ``p_<category>``. NULL and
     blank texts have no features and get the intercepts' probabilities; every row
-    is scored by itself."""
+    is scored by itself, repeated ones alike. Other columns are left behind."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     names = ["doc_id", *(f"p_{c}" for c in chain.categories)]
 
