@@ -260,6 +260,56 @@ def steiner_corridor(spark, sf):
     return gr.corridor_edges(edges, tree)
 
 
+def _labels_sql(rounds: int) -> str:
+    """Nearest terminal of every node: the least (distance, hops, terminal, node before)."""
+    steps = ["l0 as (select node_id as node, 0.0::double as dist, 0 as hops, node_id as source, null::integer as pred from terminals)"]
+    for i in range(1, rounds + 1):
+        steps.append(
+            f"l{i} as materialized (select node, dist, hops, source, pred from (select * from l{i - 1} union all"
+            f" select v, dist + cost, hops + 1, source, u from l{i - 1} join arcs on u = node)"
+            " qualify row_number() over (partition by node order by dist, hops, source, pred nulls first) = 1)"
+        )
+    return ", ".join(steps)
+
+
+CORRIDOR_SQL = TRADE_SQL.replace("pairs as (", "pairs as materialized (").rstrip() + f""",
+arcs as (select a as u, b as v, cost from pairs union all select b, a, cost from pairs),
+terminals as (select distinct c_nationkey as node_id from (select c_nationkey, row_number() over (order by c_acctbal desc, c_custkey) as pos from customer qualify pos <= 6)),
+{_labels_sql(24)},
+bridges as (select least(x.source, y.source) as p, greatest(x.source, y.source) as q, x.dist + cost + y.dist as total, a, b
+  from pairs join l24 x on a = x.node join l24 y on b = y.node where x.source <> y.source
+  qualify row_number() over (partition by least(x.source, y.source), greatest(x.source, y.source) order by x.dist + cost + y.dist, a, b) = 1),
+both_ways as (select p as u, q as v, total, a, b from bridges union all select q, p, total, a, b from bridges),
+grow(step, seen, a, b) as (
+  select 0, [(select min(node_id) from terminals)], null::integer, null::integer
+  union all
+  select step + 1, list_append(seen, v), a, b from (
+    select step, seen, v, w.a, w.b, row_number() over (order by total, least(u, v), greatest(u, v)) as rn
+    from grow join both_ways w on list_contains(seen, u) and not list_contains(seen, v)) where rn = 1),
+ends as (select unnest([a, b]) as node from grow where a is not null),
+ways(node) as (select node from ends union select pred from ways join l24 using (node) where pred is not null),
+tree as (select a, b from grow where a is not null
+  union select least(node, pred), greatest(node, pred) from ways join l24 using (node) where pred is not null)
+"""
+
+
+@catalog.add(CORRIDOR_SQL + "select a, b, round(cost, 3) as cost from pairs join tree using (a, b)")
+def trade_tree(spark, sf):
+    """The tree that connects the nations of the six best customers."""
+    costed = costed_trade(spark, sf)
+    tree = gr.steiner_tree(costed, gr.select_terminals(trade_areas(spark, sf), 6))
+    return tree.select("a", "b", r6("cost", 3).alias("cost"))
+
+
+@catalog.add(CORRIDOR_SQL + """select u, v, key, length, round(costed.cost, 3) as cost from costed
+where exists (select 1 from tree where a = least(u, v) and b = greatest(u, v))""")
+def trade_corridor(spark, sf):
+    """Every trade edge, in either direction, along that tree."""
+    costed = materialize(costed_trade(spark, sf), "costed")
+    tree = materialize(gr.steiner_tree(costed, gr.select_terminals(trade_areas(spark, sf), 6)), "tree")
+    return gr.corridor_edges(costed, tree).withColumn("cost", r6("cost", 3))
+
+
 @catalog.add(TRADE_SQL.replace("pairs as (", "pairs as materialized (") + """,
 arcs as (select a as u, b as v, cost from pairs union all select b, a, cost from pairs),
 grow(step, seen, a, b, cost) as (

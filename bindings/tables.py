@@ -107,13 +107,16 @@ select cast(event_id as varchar) as id, props as name, event_type as category, v
 from events where event_type in ('view', 'click') and value is not null
 """)
 def poi_filter(spark, sf):
-    nested = table(spark, sf, "events").select(
+    return readers.select_pois(nested_events(spark, sf), ("view", "click"))
+
+
+def nested_events(spark, sf):
+    return table(spark, sf, "events").select(
         F.col("event_id").cast("string").alias("id"),
         F.struct(F.col("props").alias("primary")).alias("names"),
         F.struct(F.col("event_type").alias("primary")).alias("categories"),
         F.col("value").alias("x"), F.col("user_id").cast("double").alias("y"),
     )
-    return readers.select_pois(nested, ("view", "click"))
 
 
 @catalog.add("""
@@ -261,9 +264,13 @@ def source_fallback(spark, sf):
     )
 
 
-@catalog.add("select event_id, event_type, value from events where event_type in ('absent')")
+@catalog.add("""
+select cast(event_id as varchar) as id, props as name, event_type as category, value as x, cast(user_id as double) as y
+from events where event_type in ('absent')
+""")
 def typed_empty(spark, sf):
-    return table(spark, sf, "events").where(F.col("event_type").isin("absent")).select("event_id", "event_type", "value")
+    """Points of a category that no event has: no rows, but all columns."""
+    return readers.select_pois(nested_events(spark, sf), ("absent",))
 
 
 @catalog.add("select doc_id, text, lang, n_chars, cast(quality as bigint) as quality from documents left join labels using (doc_id)")

@@ -89,9 +89,10 @@ def crawl_cutoff(results: DataFrame, key: str = "company", page: str = "page_num
     A page is a stop when it and the page before it are empty. Pages are cut
     into ranges by number, so that a key with most of the pages is handled by
     many tasks: each range knows its own stops, and the last page of a range is
-    handed to the next one that has pages of the same key.
+    handed to the next one that has pages of the same key. ``results`` is a stored
+    table; it is written once, in ranges, and everything else reads these.
     """
-    cut = range_slices(results, [page, key], "_slice")
+    cut = range_slices(results, [page, key], "_slice", stored=True)
     w = W.partitionBy(key, "_slice").orderBy(page)
     seen = cut.withColumn("_prev", F.lag(n).over(w))
     edges = cut.groupBy(key, "_slice").agg(F.max_by(n, page).alias("_last"))
@@ -103,7 +104,7 @@ def crawl_cutoff(results: DataFrame, key: str = "company", page: str = "page_num
     stop_here = (F.col(n) == 0) & (F.coalesce(F.col("_prev"), F.col("_carry")) == 0)
     stops = joined.where(stop_here).groupBy(F.col(key).alias("_k")).agg(F.min(page).alias("_stop"))
     return (
-        results.join(stops, F.col(key).eqNullSafe(F.col("_k")), "left")
+        cut.join(stops, F.col(key).eqNullSafe(F.col("_k")), "left")
         .where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop")))
-        .drop("_k", "_stop")
+        .drop("_k", "_stop", "_slice")
     )

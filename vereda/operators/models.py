@@ -16,7 +16,6 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from vereda.functions import text as tx
 from vereda.operators import evaluation as ev
@@ -85,28 +84,22 @@ def evaluate(model: Model, df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def train_all(models: dict[str, Estimator], train: DataFrame) -> dict[str, Model]:
-    """Fit several estimators on one cached training set."""
-    train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return {name: est.fit(train) for name, est in models.items()}
-    finally:
-        train.unpersist()
+    """Fit several estimators on one stored training set."""
+    train = materialize(train, "train")
+    return {name: est.fit(train) for name, est in models.items()}
 
 
 def cross_validate_f1(
     estimator: Estimator, train: DataFrame, id_col: str, label: str = "label", k: int = 5, seed: int | None = SEED
 ) -> DataFrame:
     """(fold, f1_score) for ``k`` stratified folds."""
-    folds = assign_folds(train, id_col, label, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    folds = materialize(assign_folds(train, id_col, label, k, seed), "folds")
     rows = []
-    try:
-        for i in range(k):
-            model = estimator.fit(folds.where(F.col("fold") != i))
-            scored = predictions(model, folds.where(F.col("fold") == i))
-            f1 = ev.binary_metrics(scored, label, "y_pred").first()["f1_score"]
-            rows.append((i, float(f1)))
-    finally:
-        folds.unpersist()
+    for i in range(k):
+        model = estimator.fit(folds.where(F.col("fold") != i))
+        scored = predictions(model, folds.where(F.col("fold") == i))
+        f1 = ev.binary_metrics(scored, label, "y_pred").first()["f1_score"]
+        rows.append((i, float(f1)))
     return train.sparkSession.createDataFrame(rows, "fold int, f1_score double")
 
 
@@ -159,14 +152,11 @@ def text_classifier(
     train: DataFrame, text: str, label: str, max_features: int = 5000, ngrams: tuple[int, int] = (1, 2)
 ) -> PipelineModel:
     """TF-IDF and logistic regression; vocabulary and idf from training rows."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        vocabulary = fit_vocabulary(train, text, ngrams, max_features)
-        index = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(train)
-        vectors = PipelineModel([index, *text_stages(vocabulary, text, ngrams)])
-        fitted = logistic(train.count(), "_label").fit(vectors.transform(train).select("_label", "features"))
-    finally:
-        train.unpersist()
+    train = materialize(train.select(text, label), "train")
+    vocabulary = fit_vocabulary(train, text, ngrams, max_features)
+    index = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc").fit(train)
+    vectors = PipelineModel([index, *text_stages(vocabulary, text, ngrams)])
+    fitted = logistic(train.count(), "_label").fit(vectors.transform(train).select("_label", "features"))
     back = IndexToString(inputCol="prediction", outputCol="y_pred", labels=index.labels)
     # new rows may come without a label, so the label index is not part of it
     return PipelineModel([*vectors.stages[1:], fitted, back])

@@ -26,13 +26,13 @@ def column_struct(names: list[str], values: list[Column]) -> Column:
 
 
 def range_slices(
-    df: DataFrame, order: list[str], name: str, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, order: list[str], name: str, rows_per_task: int = ROWS_PER_TASK, stored: bool = False
 ) -> DataFrame:
     """``df`` cut into ranges of ``order``, numbered in order in column ``name``.
 
     Written out, because the range bounds come from a sample: every later use
-    must see the same cut."""
-    rows = materialize(df, "rows")
+    must see the same cut. A ``stored`` table is cut without being written first."""
+    rows = df if stored else materialize(df, "rows")
     ranges = max(1, math.ceil(rows.count() / rows_per_task))
     return materialize(
         rows.repartitionByRange(ranges, *order).withColumn(name, F.spark_partition_id()), "ranges"

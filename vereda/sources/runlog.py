@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, MapType, NumericType, StringType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, MapType, NumericType, StringType, StructType
 
 RUN_SCHEMA = (
     "run_id string, parent_id string, run_name string, kind string, key string, "
@@ -36,7 +36,7 @@ def _numbers(schema: StructType, above: tuple[str, ...] = ()) -> list[tuple[str,
     for f in schema.fields:
         if isinstance(f.dataType, StructType):
             out.extend(_numbers(f.dataType, (*above, f.name)))
-        elif isinstance(f.dataType, NumericType):
+        elif isinstance(f.dataType, (NumericType, BooleanType)):
             out.append((*above, f.name))
     return out
 
@@ -46,7 +46,7 @@ def _quoted(names: tuple[str, ...]) -> Column:
 
 
 def flatten_metrics(payload: DataFrame, keys: list[str] = []) -> DataFrame:
-    """(keys, path, value): numeric leaves of nested structs, nulls dropped.
+    """(keys, path, value): numeric leaves of nested structs, truth values as 1 and 0, nulls dropped.
     The paths come from the schema, so one projection does it for any depth."""
     schema = StructType([f for f in payload.schema.fields if f.name not in keys])
     leaves = [
