@@ -5,6 +5,7 @@ from vereda.functions import text as tx
 from vereda.operators import extract as ex, language as lg, lexicon as lx, text as tt, tfidf as tf
 
 import math
+import random
 
 
 def one(spark, expr, value):
@@ -170,3 +171,49 @@ def test_crawl_cutoff_across_ranges(spark, rows, monkeypatch):
     monkeypatch.setattr(stats.range_slices, "__defaults__", (2,))
     df = spark.createDataFrame([("a", i, 0 if i in (4, 5) else 1) for i in range(1, 10)], "company string, page_num int, n_reviews int")
     assert [r[1] for r in rows(ex.crawl_cutoff(df), "page_num")] == [1, 2, 3, 4, 5]
+
+
+def counted_ngrams(rows, k):
+    """Top n-grams per language and size, ties by term, by hand."""
+    import re
+    from collections import Counter
+
+    counts = {}
+    for lang, text in rows:
+        words = [w for w in re.findall(r"\w+", (text or "").lower()) if len(w) >= 2]
+        for n in (2, 3):
+            counts.setdefault((lang, n), Counter()).update(" ".join(words[i : i + n]) for i in range(len(words) - n + 1))
+    return sorted((lang, n, t, c, i + 1) for (lang, n), found in counts.items() for i, (t, c) in enumerate(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:k]))
+
+
+@pytest.mark.parametrize("words_first", [2, 6, 1000])
+def test_ngrams_by_frequent_words(spark, words_first):
+    r = random.Random(4)
+    words = ["uno", "dos", "tres", "ñandú", "x", "it's", "q9"] + [f"rare{i}" for i in range(60)]
+    rows = [(r.choice(["en", "es", "fr"]), " ".join(r.choices(words, weights=[30, 25, 20, 15, 9, 9, 9] + [1] * 60, k=25))) for _ in range(60)] + [("en", None), ("es", "")]
+    df = spark.createDataFrame(rows, "lang string, text string").where("lang in ('en', 'es')")
+    got = tt.top_sized_ngrams(df, tx.word_tokens(F.col("text")), ["lang"], [2, 3], 5, words_first)
+    assert sorted(tuple(x) for x in got.select("lang", "size", "term", "n", "rank").collect()) == counted_ngrams([x for x in rows if x[0] != "fr"], 5)
+
+
+@pytest.mark.parametrize("most", [3, 12, 500])
+def test_vocabulary_by_frequent_words(spark, most):
+    r = random.Random(6)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(r.choices(words, weights=range(1, 31), k=20))) for i in range(40)] + [(90, None), (91, "")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    counts = {}
+    for _, t in rows:
+        w = (t or "").split()
+        for g in w + [f"{a} {b}" for a, b in zip(w, w[1:])]:
+            counts[g] = counts.get(g, 0) + 1
+    want = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:most]
+    vocabulary, weights = tf.fit_transform(df, "id", "text", max_features=most)
+    assert sorted((x["term"], x["tf"]) for x in vocabulary.collect()) == sorted(want)
+    plain = tf.tfidf(df, "id", "text", tf.fit_vocabulary(df, "text", max_features=most))
+    rounded = lambda t: sorted((x["id"], x["term"], x["tf"], round(x["weight"], 9)) for x in t.collect())
+    assert rounded(weights) == rounded(plain)
+    # what is shuffled are terms that the vocabulary knows, never the words of a text
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert not any("text#" in line.split("ENSURE")[0] for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert "tokens#" not in "".join(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
