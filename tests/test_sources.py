@@ -1,3 +1,5 @@
+import csv
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,6 +27,26 @@ def test_csv_types_and_missing_tokens(spark, tmp_path):
     assert fixed.schema["score"].dataType.simpleString() == "float" and fixed.first()["name"] is None
 
 
+@pytest.mark.parametrize("split", [200, 1 << 20])
+def test_csv_files_are_split_at_records(spark, tmp_path, split):
+    rows = [(i, f'line "{i}"\n\n,"",\nend' if i % 3 else "plain", "x" * (i % 40), "" if i % 5 else "a,b") for i in range(120)]
+    for part in range(2):
+        with open(tmp_path / f"{part}.csv", "w", newline="") as f:
+            out = csv.writer(f, lineterminator="\n")
+            out.writerow(["id", "text", "filler", "more"])
+            out.writerows(rows[part::2])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        df = readers.read_csv(spark, str(tmp_path), "id int, text string, filler string, more string")
+        got = sorted(map(tuple, df.collect()))
+        records = readers.csv_records(spark, str(tmp_path))
+        assert records.count() == 120
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [tuple(v or None for v in r) if r[0] else (0, *(v or None for v in r[1:])) for r in rows]
+
+
 def test_sinks_read_back(spark, tmp_path):
     df = spark.createDataFrame([("c", "t", "p\nq", None, "u", 2)], "company string, review_title string, pros string, cons string, source_url string, page_number int")
     writers.write_reviews(df, str(tmp_path / "r"))
@@ -60,7 +82,7 @@ def test_pois_prune_and_push_down(spark, tmp_path):
 def test_metrics_from_nested_json(spark):
     df = spark.createDataFrame([('{"a": 1, "b": {"c": 2.5, "d": "x", "e": [1]}, "f": null, "g": true}',)], "j string")
     flat = runlog.flatten_metrics(runlog.parse_payload(df, "j"))
-    assert sorted(map(tuple, flat.collect())) == [("a", 1.0), ("b.c", 2.5)]
+    assert sorted(map(tuple, flat.collect())) == [("a", 1.0), ("b.c", 2.5), ("g", 1.0)]
 
 
 def test_run_log(spark, tmp_path):

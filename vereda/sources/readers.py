@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from vereda.functions.numeric import nan_to_null
@@ -18,22 +18,66 @@ NA_TOKENS = [
 ]
 
 
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record): the records of a CSV file or folder without its headers; a quoted field
+    may hold line breaks, which become line feeds.
+
+    Files are read in splits, line by line. A line begins a record if the quotes before
+    it, in its own split and in the splits before it, are even in number. Only lines of
+    records of several lines are moved, to be put together.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"), "value",
+    )
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    in_split = W.partitionBy("file", "split").orderBy("at")
+    earlier = in_split.rowsBetween(W.unboundedPreceding, -1)
+    # one row a split from here on
+    splits = lines.groupBy("file", "split").agg((F.sum(odd) % 2).alias("odd"), F.count("*").alias("n"))
+    before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    splits = splits.select("file", "split", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("inside"))
+    placed = lines.join(splits, ["file", "split"]).withColumn(
+        "starts", (F.col("inside") + F.coalesce(F.sum(odd).over(earlier), F.lit(0))) % 2 == 0
+    )
+    begun = F.max(F.when(F.col("starts"), F.col("at")))
+    placed = placed.withColumn("first", begun.over(in_split.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    # what begins in one split may end in the next ones
+    ends = placed.groupBy("file", "split").agg(F.max("first").alias("last"))
+    carry = F.last("last", ignorenulls=True).over(before)
+    ends = ends.select("file", "split", carry.alias("carried"))
+    placed = placed.join(ends, ["file", "split"]).withColumn("record", F.coalesce("first", "carried"))
+    header = (F.col("split") == 0) & (F.row_number().over(in_split) == 1)
+    follows = F.lead("starts").over(in_split)
+    placed = placed.withColumn("header", header).withColumn("alone", F.col("starts") & F.coalesce(follows, F.lit(False)))
+    alone = placed.where("alone and not header").select(F.col("value").alias("record"))
+    parts = placed.where("not alone").groupBy("file", "record").agg(
+        F.array_sort(F.collect_list(F.struct("split", "at", "value"))).alias("lines"), F.max("header").alias("header")
+    )
+    joined = parts.where("not header").select(F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("record"))
+    return alone.unionByName(joined).where("record <> ''")
+
+
 def _csv_text(spark: SparkSession, path: str, schema: StructType | None, multi_line: bool) -> DataFrame:
-    reader = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8")
-    if schema is not None:
-        text = StructType()
-        for f in schema.fields:
-            text = text.add(f.name, StringType())
-        reader = reader.schema(text).option("enforceSchema", False)
-    return reader.csv(path)
+    """All columns as text."""
+    reader = spark.read.options(header=True, quote='"', escape='"', encoding="UTF-8")
+    names = [f.name for f in schema.fields] if schema is not None else reader.csv(path).columns
+    text = StructType()
+    for name in names:
+        text = text.add(name, StringType())
+    if not multi_line:
+        return reader.schema(text).option("enforceSchema", schema is None).csv(path)
+    ddl = ", ".join(f"`{name}` string" for name in names)
+    parsed = F.from_csv("record", ddl, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    return csv_records(spark, path).select(parsed.alias("r")).select("r.*")
 
 
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """A CSV file or folder with a header; quoted fields may hold line breaks.
-    Such files cannot be split, so a file is one task; turn ``multi_line`` off
-    for very large files without line breaks in fields.
+    """A CSV file or folder with a header; quoted fields may hold line breaks. Large
+    files are read in splits either way; turn ``multi_line`` off for files without line
+    breaks in fields, which saves putting records together.
 
     With a schema values are converted to it and unconvertible ones become
     NULL. Without one a single pass decides per column between long, double,
