@@ -78,6 +78,25 @@ def test_token_counts(docs, nothing):
     assert token_counts.budget_answers(nothing, 5).count() == 0
 
 
+def test_tokenizers_that_span_words_are_refused(tmp_path):
+    import json
+
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="span words"):
+        token_counts.WordTokens(public_tokenizers.path("byte_bpe_50k.json"))
+    assert token_counts.cuts_at_spaces(json.load(open(token_counts.default_path())))
+
+
+def test_token_counts_of_awkward_texts(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(token_counts.default_path())
+    texts = ["don't STOP", "naïve façade ÜNTER", "<|endoftext|> <|startoftext|>x", "日本語 テキスト😀", "a\u3000b\u00a0c\u2028d", "12,345.6 7x", "e\u0301 \u200b y", "\x00a\x1cb"]
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.budget_answers(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 9).collect()}
+    assert got == {i: len(t.encode(x, add_special_tokens=False).ids) for i, x in enumerate(texts)}
+
+
 def test_repeats(docs, nothing):
     first = {}
     for i, t, *_ in ROWS:
@@ -234,12 +253,14 @@ CLASHING = ["_id", "_k", "_size", "_crc", "_h1", "row", "_row", "_hash", "_piece
 
 
 def test_stages_keep_columns_of_any_name(spark, sf_dir):
-    rows = [(i, t, "en", "a", 1, *([7] * len(CLASHING))) for i, t, *_ in ROWS[:12]]
+    rows = [(i, t, lang, source, n, *([7] * len(CLASHING))) for i, t, lang, source, n, *_ in [*ROWS[:9], *ROWS[-9:], (None, "no id at all", "en", "a", 1), (None, None, None, None, None)]]
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in CLASHING))
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, table, sf_dir)
         assert out.columns[: len(table.columns)] == table.columns, name
-        assert all(x[c] == 7 for x in out.collect() for c in CLASHING), name
+        found = out.collect()
+        assert all(x[c] == 7 for x in found for c in CLASHING) and 0 < len(found) <= len(rows), name
+        assert stage(spark, table.limit(0), sf_dir).count() == 0, name
 
 
 @pytest.mark.parametrize("n,bits", [(2, 4), (3, 3)])
@@ -318,6 +339,19 @@ def test_language_model(docs, nothing):
     assert (got.score < 0).all() and language_model.score_texts(nothing).count() == 0
 
 
+def test_score_of_one_state_by_hand(docs):
+    """With one state the model is its emissions, which follow from the counts."""
+    got = language_model.score_texts(docs, vocabulary=10_000, states=1, rounds=2).toPandas()
+    train = [words(t, True) for i, t, *_ in ROWS if zlib.crc32(str(i).encode()) % 10]
+    counts, ends, a = Counter(w for ws in train for w in ws), len(train), language_model.ALPHA
+    n = counts.total() + ends
+    whole = n + 2 * a
+    emit = {w: (c + 20 * c / whole) / (n + 20) for w, c in counts.items()}
+    other, end = 20 * a / whole / (n + 20), (ends + 20 * (ends + a) / whole) / (n + 20)
+    want = {i: sum(math.log10(emit.get(w, other)) for w in words(t, True)) + math.log10(end) for i, t, *_ in ROWS}
+    assert all(r.score == pytest.approx(want[r.doc_id], rel=1e-9) for r in got.itertuples())
+
+
 def test_forward_recursion_is_exact():
     r = np.random.default_rng(1)
     s = language_model.States(np.array([0.4, 0.6]), np.array([[0.7, 0.3], [0.2, 0.8]]), r.dirichlet(np.ones(5), 2).T)
@@ -347,6 +381,18 @@ def test_toxicity(spark, nothing):
     chain = toxicity.fit_chain(table, marks)
     got = {x["doc_id"]: x["p_toxic"] >= 0.5 for x in toxicity.score_toxicity(table, chain).collect()}
     assert all(got[i] == (i % 4 == 0) for i in range(240, 300)) and got[302] and not got[300] and not got[301]
+    # every probability by hand: words, and the earlier category's probability
+    for x in toxicity.score_toxicity(table, chain).collect():
+        found = [chain.place[f] for f in toxicity.text_features((dict(rows)[x["doc_id"]] or "").encode()) if f in chain.place]
+        p = []
+        for k in range(2):
+            z = chain.intercept[k] + sum(chain.weights[f, k] for f in found) + sum(chain.earlier[k, j] * p[j] for j in range(k))
+            p.append(1 / (1 + math.exp(-z)))
+        assert [x["p_quality"], x["p_toxic"]] == pytest.approx(p)
+    assert chain.earlier[1, 0] != 0
+    # rows that share an id are one labelled document
+    many = spark.createDataFrame([(7, "vilest")] * 50 + [(8, "fine")], "doc_id long, text string")
+    assert toxicity.labelled_sample(many, spark.createDataFrame([(7, 0, 1)], "doc_id long, quality int, toxic int"), ["quality", "toxic"], 1).count() == 1
     kept = toxicity.drop_toxic(table.withColumn("p_toxic", table["doc_id"]), chain)
     assert kept.columns == ["doc_id", "text", "p_toxic"] and {x["doc_id"] for x in kept.collect()} == {i for i, t in got.items() if not t}
     assert toxicity.score_toxicity(nothing, toxicity.fit_chain(nothing, marks.limit(0))).count() == 0
