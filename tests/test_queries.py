@@ -45,6 +45,12 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
         assert costly not in plan
 
 
+@pytest.mark.parametrize("name", ["classifier_logistic", "coefficient_rank", "feature_importance", "text_classifier", "steiner_corridor"])
+def test_query_without_sql_runs(spark, sf_dir, name):
+    df = entry_module.queries()[name](spark, sf_dir)
+    assert not df.isEmpty() and all(f.dataType.simpleString() != "void" for f in df.schema)
+
+
 def test_every_sql_has_a_query():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
