@@ -281,11 +281,10 @@ def cell_links(buckets: DataFrame, sets: DataFrame, tags: DataFrame) -> DataFram
             return x, y, np.zeros((len(x), len(y)), bool)
         ok = (alike(small[x], small[y]) >= LEAST_EQUAL) & (comp[x][:, None] != comp[y][None, :])
         ok &= np.minimum(n[x][:, None], n[y]) * 100 >= np.maximum(n[x][:, None], n[y]) * SIMILARITY
+        x, y, ok = x[ok.any(1)], y[ok.any(0)], ok[ok.any(1)][:, ok.any(0)]
         bands = cell.column("tags").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
-        i, j = np.nonzero(ok)
-        for k in range(0, len(i), 100_000):
-            a, b = i[k : k + 100_000], j[k : k + 100_000]
-            ok[a, b] = (bands[x[a]] == bands[y[b]]).argmax(1) == cell.column("band")[0].as_py()
+        for k in range(cell.column("band")[0].as_py() if len(x) else 0):
+            ok &= bands[x, k][:, None] != bands[y, k]
         return x[ok.any(1)], y[ok.any(0)], ok[ok.any(1)][:, ok.any(0)]
 
     def maybe(batches):
