@@ -168,7 +168,7 @@ def test_crawl_cutoff(spark, rows):
 def test_crawl_cutoff_across_ranges(spark, rows, monkeypatch):
     from vereda.operators import stats
 
-    monkeypatch.setattr(stats.range_slices, "__defaults__", (2,))
+    monkeypatch.setattr(stats.range_slices, "__defaults__", (2, False))
     df = spark.createDataFrame([("a", i, 0 if i in (4, 5) else 1) for i in range(1, 10)], "company string, page_num int, n_reviews int")
     assert [r[1] for r in rows(ex.crawl_cutoff(df), "page_num")] == [1, 2, 3, 4, 5]
 
