@@ -425,6 +425,33 @@ def test_paraphrases_are_found(spark, variants):
     assert got <= want and len(got) >= 0.9 * len(want)
 
 
+def test_fit_of_leaks_sees_every_passage(spark, monkeypatch):
+    r = random.Random(9)
+    rows = [(i if i % 9 else None, " ".join(r.choices(VOCABULARY, k=r.choice([0, 5, 48, 49, 200])))) for i in range(120)] + [(500, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    terms = sorted({w.encode().lower() for w in VOCABULARY} - {VOCABULARY[0].encode()})[::2]
+    idf = np.linspace(0.5, 2.0, len(terms))
+    place = {t: i for i, t in enumerate(terms)}
+    dense = []
+    for _, t in rows:
+        for p in decontamination.passages_of(decontamination.terms_of((t or "").encode())):
+            x = np.zeros(len(terms))
+            for w in p:
+                if w in place:
+                    x[place[w]] += idf[place[w]]
+            dense.append(x / (np.linalg.norm(x) or 1.0))
+    want = np.array(dense).T @ np.array(dense)
+    # with very many sums each passage is alone in its own, so the product is exact
+    monkeypatch.setattr(decontamination, "SKETCH", 1 << 40)
+    monkeypatch.setattr(decontamination, "HELD_SUMS", 50)
+    got = np.zeros_like(want)
+    for s in decontamination.passage_sums(table, terms, idf).collect():
+        x = np.zeros(len(terms))
+        x[np.frombuffer(s["terms"], np.int32)] = np.frombuffer(s["parts"], np.float32)
+        got += np.outer(x, x)
+    assert np.abs(got - want).max() < 1e-4
+
+
 def test_blocks_of_items_find_the_same(spark, docs, monkeypatch):
     r = random.Random(6)
     items = [(i, " ".join(f"q{r.randrange(300)}" for _ in range(30))) for i in range(12)] + [(3, "another text of item three with words of its own")]

@@ -1,8 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items are cut into passages, and a randomised SVD of the TF-IDF table of
-these and a bounded sample of corpus passages, over the items' words, gives the
-latent space, completed where it misses an item's passage. Windows of every document
+these and all corpus passages, over the items' words, gives the latent space, completed
+where it misses an item's passage. The corpus passages enter as a sparse embedding of
+their table (Clarkson and Woodruff, 2013): each is added to or taken from one of
+``SKETCH`` rows, which keep the table's product with its transpose. Windows of every document
 are compared with every passage by cosine, and what may be a copy or paraphrase is
 checked by the longest common subsequence of words and by the item's longest words
 (its answer). The answer comes from the item alone, so no leak can move it.
@@ -13,6 +15,7 @@ hold those, a sparse table, and not the space itself.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -23,18 +26,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bindings.common import Catalog
-from vereda.llm.common import documents, n_words, raw, slices
+from vereda.llm.common import documents, mixed, n_words, raw, slices
 from vereda.session import materialize
 
 catalog = Catalog()
 
-#: passages of items in a block, and blocks in a pass over the documents; documents sampled for the fit and the
-#: weight of their passages; dimensions of the space, which grow with the block's passages up to RANK
-BLOCK_PASSAGES, PASS_BLOCKS, FIT_DOCUMENTS, FIT_WEIGHT, RANK, EXTRA = 400, 32, 50, 0.2, 512, 8
+#: passages of items in a block, and blocks in a pass over the documents; rows that the documents' passages are
+#: summed to for the fit, sums that a task holds, and the passages' squared weight as a share of the items'
+#: passages'; dimensions of the space, which grow with the block's passages up to RANK
+BLOCK_PASSAGES, PASS_BLOCKS, SKETCH, HELD_SUMS, FIT_SHARE, RANK, EXTRA = 400, 32, 1024, 1 << 19, 0.06, 512, 8
+#: rows of the table that are multiplied at once
+ROWS_AT_ONCE = 128
 #: share of a passage's squared weight that the space holds at least
 HELD = 0.5
 #: words of an item's passage and of a step; steps in a window, and steps handled at once
-PASSAGE, STEP, SPAN, AT_ONCE = 48, 16, 5, 8192
+PASSAGE, STEP, SPAN, AT_ONCE = 48, 16, 5, 1024
 #: share of a passage's weight that a window must hold to be checked; products below this part of it are left
 #: out, and the limit is lowered by as much as a window's words could lose
 CANDIDATE, LEAST_PART = 0.5, 2e-4
@@ -87,9 +93,88 @@ def passages_of(terms: list[bytes], size: int = PASSAGE) -> list[list[bytes]]:
     return [terms[a:b] for a, b in zip(edges, edges[1:], strict=False) if b > a]
 
 
-def latent_space(rows: DataFrame, idf: np.ndarray, rank: int, turns: int = 1) -> np.ndarray:
-    """Right singular vectors (terms x rank) of the TF-IDF table whose rows are
-    passages (``terms``: packed term numbers, ``weight``), by a randomised range finder (Halko, Martinsson and Tropp, 2011).
+def weighted_passages(texts: list[bytes | None], place: dict[bytes, int], idf: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Term, TF-IDF weight and passage of every different term of the passages of ``texts``, whose
+    rows have unit length; then the text of each passage and its number there."""
+    words = [terms_of(t) for t in texts]
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    parts = np.ceil(lengths / PASSAGE).astype(np.int64)
+    text = np.repeat(np.arange(len(words)), parts)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+    # the same edges as in passages_of
+    ends = np.rint((number + 1) * lengths[text] / parts[text]).astype(np.int64)
+    passage = np.repeat(np.arange(len(text)), np.diff(ends, prepend=0) + np.where(number == 0, np.r_[0, ends][:-1], 0))
+    term = np.fromiter(map(place.get, (w for x in words for w in x), repeat(-1)), np.int64, len(passage))
+    known = term >= 0
+    keys, n = np.unique(passage[known] * len(place) + term[known], return_counts=True)
+    passage, term = np.divmod(keys, max(len(place), 1))
+    x = n * idf[term]
+    return term, x / np.sqrt(np.bincount(passage, weights=x * x, minlength=len(text)))[passage], passage, text, number
+
+
+def passage_sums(docs: DataFrame, terms: list[bytes], idf: np.ndarray) -> DataFrame:
+    """``bucket, terms, parts``: the unit TF-IDF rows over ``terms`` of all passages of all documents,
+    each with a random sign in one of ``SKETCH`` sums (packed term numbers and sums)."""
+    shared = docs.sparkSession.sparkContext.broadcast(({t: i for i, t in enumerate(terms)}, idf))
+    names = ["bucket", "terms", "parts"]
+
+    def packed(keys: np.ndarray, sums: np.ndarray, n_terms: int) -> pa.RecordBatch:
+        bucket = keys // n_terms
+        heads = np.flatnonzero(np.diff(bucket, prepend=-1))
+        edges = list(zip(heads.tolist(), [*heads[1:].tolist(), len(keys)], strict=True)) if len(keys) else []
+        term, sums = (keys % n_terms).astype(np.int32), sums.astype(np.float32)
+        return pa.RecordBatch.from_arrays([
+            pa.array(bucket[heads], pa.int64()), pa.array([term[a:z].tobytes() for a, z in edges], pa.binary()),
+            pa.array([sums[a:z].tobytes() for a, z in edges], pa.binary()),
+        ], names=names)
+
+    def run(batches):
+        place, idf = shared.value
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def summed():
+            keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            return keys, np.bincount(at, weights=np.concatenate([v for _, v in held]), minlength=len(keys))
+
+        for b in slices(batches):
+            texts = b.column("text").to_pylist()
+            term, x, passage, text, number = weighted_passages(texts, place, idf)
+            ids = b.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            seeds = mixed(ids) ^ np.fromiter((zlib.crc32(t or b"") for t in texts), np.uint64, len(texts))
+            draw = mixed(mixed(seeds[text]) + number.astype(np.uint64))
+            bucket, sign = (draw >> np.uint64(1)) % np.uint64(SKETCH), 1.0 - 2.0 * (draw & np.uint64(1))
+            held.append((bucket.astype(np.int64)[passage] * len(place) + term, x * sign[passage]))
+            if sum(len(k) for k, _ in held) > HELD_SUMS:
+                held[:] = [summed()]
+                if len(held[0][0]) > HELD_SUMS // 2:
+                    yield packed(*held.pop(), len(place))
+        if held:
+            yield packed(*summed(), len(place))
+
+    def add(batches):
+        held, total, n_terms = None, None, len(shared.value[0])
+        for b in batches:
+            for bucket, t, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if bucket != held:
+                    if held is not None:
+                        at = np.flatnonzero(total)
+                        yield packed(held * n_terms + at, total[at], n_terms)
+                    held, total = bucket, np.zeros(n_terms)
+                total[np.frombuffer(t, np.int32)] += np.frombuffer(x, np.float32)
+        if held is not None:
+            at = np.flatnonzero(total)
+            yield packed(held * n_terms + at, total[at], n_terms)
+
+    schema = "bucket long, terms binary, parts binary"
+    sums = raw(docs).mapInArrow(run, schema).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, schema)
+    sums = materialize(sums, "leak-passages")
+    shared.unpersist()
+    return sums
+
+
+def latent_space(rows: DataFrame, n_terms: int, rank: int, turns: int = 1) -> np.ndarray:
+    """Right singular vectors (terms x rank) of the table with the given rows (packed
+    term numbers ``terms`` and values ``parts``), by a randomised range finder (Halko, Martinsson and Tropp, 2011).
 
     Each pass multiplies the table by its transpose inside the tasks; the tasks'
     products are summed term by term by Spark. The driver holds the block's terms,
@@ -97,24 +182,25 @@ def latent_space(rows: DataFrame, idf: np.ndarray, rank: int, turns: int = 1) ->
     """
     spark = rows.sparkSession
     width = rank + EXTRA
-    basis = np.random.default_rng(8).standard_normal((len(idf), width), np.float32)
-    weights = spark.sparkContext.broadcast(idf)
+    basis = np.random.default_rng(8).standard_normal((n_terms, width), np.float32)
 
     def product(q: np.ndarray) -> np.ndarray:
         shared = spark.sparkContext.broadcast(q)
 
         def run(batches):
-            out: dict[int, np.ndarray] = {}
+            out, seen = np.zeros_like(shared.value), np.zeros(n_terms, bool)
             for b in batches:
-                for t, w in zip(b.column("terms").to_pylist(), b.column("weight").to_pylist(), strict=True):
-                    ids, n = np.unique(np.frombuffer(t, np.int64), return_counts=True)
-                    x = n * weights.value[ids]
-                    x = (x * (w / (np.linalg.norm(x) or 1.0))).astype(np.float32)
-                    y = x @ shared.value[ids]
-                    for i, v in zip(ids.tolist(), x[:, None] * y, strict=True):
-                        out[i] = out[i] + v if i in out else v
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(list(out)), pa.array([v.tobytes() for v in out.values()], pa.binary())], names=["term", "part"])
+                rows = [(np.frombuffer(t, np.int32), np.frombuffer(x, np.float32)) for t, x in zip(b.column("terms").to_pylist(), b.column("parts").to_pylist(), strict=True)]
+                for low in range(0, len(rows), ROWS_AT_ONCE):
+                    some = rows[low : low + ROWS_AT_ONCE]
+                    ids, at = np.unique(np.concatenate([t for t, _ in some]), return_inverse=True)
+                    table = np.zeros((len(some), len(ids)), np.float32)
+                    table[np.repeat(np.arange(len(some)), [len(t) for t, _ in some]), at] = np.concatenate([x for _, x in some])
+                    out[ids] += table.T @ (table @ shared.value[ids])
+                    seen[ids] = True
+            at = np.flatnonzero(seen)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([v.tobytes() for v in out[at]], pa.binary())], names=["term", "part"])
 
         def add(batches):
             out: dict[int, np.ndarray] = {}
@@ -174,8 +260,8 @@ class Space:
         passages = np.array(vectors, np.float32).reshape(len(vectors), loads.shape[1])
         # cosine >= share * |passage| / |window|: the window holds that share of the passage
         parts = loads @ passages.T / (CANDIDATE * (passages**2).sum(1))
-        row, self.columns = np.nonzero(np.abs(parts) > LEAST_PART)
-        self.values = parts[row, self.columns].astype(np.float64)
+        row, columns = np.nonzero(np.abs(parts) > LEAST_PART)
+        self.columns, self.values = columns.astype(np.int32), parts[row, columns]
         live, counts = np.unique(row, return_counts=True)
         self.row = {terms[t]: i for i, t in enumerate(live.tolist())}
         self.heads = np.cumsum(counts) - counts
@@ -270,8 +356,6 @@ def spaces(docs: DataFrame, benchmark: DataFrame) -> Iterator:
     passages = items.agg(F.sum(F.greatest(F.lit(1), F.ceil(n_words(F.col("text").cast("string")) / PASSAGE)))).first()[0] or 0
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-passages // BLOCK_PASSAGES)))).cast("int")
     items = materialize(items.withColumn("block", block), "leak-items")
-    # the fit sees all items of a block and the passages of a bounded sample of documents
-    sample = materialize(raw(docs).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(FIT_DOCUMENTS).select("text"), "leak-sample")
     blocks = [r[0] for r in items.select("block").distinct().orderBy("block").collect()]
     for i in range(0, len(blocks), PASS_BLOCKS):
         some = blocks[i : i + PASS_BLOCKS]
@@ -282,33 +366,60 @@ def spaces(docs: DataFrame, benchmark: DataFrame) -> Iterator:
                 held.setdefault(r["block"], []).append((r["item_id"], words))
         mine = [sorted(held[k], key=lambda r: (r[0] is None, r[0] or 0, r[1])) for k in some if k in held]
         vocabularies = [sorted({w for _, words in m for w in words}) for m in mine]
-        frequencies = inverse_frequencies(docs, vocabularies) if mine else []
+        if not mine:
+            yield spark.sparkContext.broadcast([])
+            continue
+        # the blocks of a pass share one fit table of the documents, over all their terms
+        every = sorted(set().union(*vocabularies))
+        (idf,) = inverse_frequencies(docs, [every])
+        sums = passage_sums(docs, every, idf)
+        place = {t: i for i, t in enumerate(every)}
+        at = [np.array([place[t] for t in v], np.int64) for v in vocabularies]
         yield spark.sparkContext.broadcast([
-            Space(m, terms, idf, block_space(items.where(F.col("block") == k), sample, m, terms, idf))
-            for k, m, terms, idf in zip((k for k in some if k in held), mine, vocabularies, frequencies, strict=True)
+            Space(m, terms, idf[k], block_space(sums, m, terms, k, idf)) for m, terms, k in zip(mine, vocabularies, at, strict=True)
         ])
 
 
-def block_space(items: DataFrame, sample: DataFrame, mine: list[tuple[int, list[bytes]]], terms: list[bytes], idf: np.ndarray) -> np.ndarray:
-    """The latent space of a block: its items' passages and the sample's, over the items' terms."""
-    place = {t: i for i, t in enumerate(terms)}
-    shared = items.sparkSession.sparkContext.broadcast(place)
-
-    def cut(weight: float):
-        def run(batches):
-            for b in batches:
-                parts = [p for t in b.column("text").to_pylist() for p in passages_of(terms_of(t))]
-                rows = [np.array([shared.value[w] for w in p if w in shared.value], np.int64).tobytes() for p in parts]
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array([weight] * len(rows), pa.float64())], names=["terms", "weight"])
-
-        return run
+def block_space(sums: DataFrame, mine: list[tuple[int, list[bytes]]], terms: list[bytes], at: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The latent space of a block: its items' passages and those of all documents, over the
+    items' terms, which are ``at`` these places of the pass's ``idf``."""
+    spark = sums.sparkSession
+    own, place = idf[at], {t: i for i, t in enumerate(terms)}
+    shared = spark.sparkContext.broadcast(at)
 
-    schema = "terms binary, weight double"
-    # one task for each some items: a product has a part for each of a task's terms
-    rows = items.select("text").mapInArrow(cut(1.0), schema).unionByName(sample.mapInArrow(cut(FIT_WEIGHT), schema))
-    rows = materialize(rows.where(F.length("terms") > 0), "leak-passages")
+    def restricted(batches):
+        number = np.full(len(idf), -1, np.int32)
+        number[shared.value] = np.arange(len(shared.value), dtype=np.int32)
+        for b in batches:
+            out: list[tuple[bytes, bytes, float]] = []
+            for t, x in zip(b.column("terms").to_pylist(), b.column("parts").to_pylist(), strict=True):
+                t, x = number[np.frombuffer(t, np.int32)], np.frombuffer(x, np.float32)
+                t, x = t[t >= 0], x[t >= 0]
+                if len(t):
+                    out.append((t.tobytes(), x.tobytes(), float(x @ x)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.binary()), pa.array([r[1] for r in out], pa.binary()), pa.array([r[2] for r in out], pa.float64())], names=["terms", "parts", "square"])
+
+    corpus = materialize(sums.mapInArrow(restricted, "terms binary, parts binary, square double"), "leak-rows")
     parts = [np.array([place[w] for w in p], np.int64) for _, words in mine for p in passages_of(words)]
-    return completed(latent_space(rows, idf, min(RANK, len(parts) + EXTRA)), parts, idf)
+    rows = []
+    # at most BLOCK_PASSAGES rows, or those of one long item
+    for p in parts:
+        ids, n = np.unique(p, return_counts=True)
+        x = n * own[ids]
+        rows.append((ids.astype(np.int32).tobytes(), (x / np.linalg.norm(x)).astype(np.float32).tobytes()))
+    total = corpus.agg(F.sum("square")).first()[0] or 1.0
+    scale = np.float32(np.sqrt(FIT_SHARE * len(parts) / total))
+
+    def scaled(batches):
+        for b in batches:
+            x = [(np.frombuffer(v, np.float32) * scale).tobytes() for v in b.column("parts").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("terms"), pa.array(x, pa.binary())], names=["terms", "parts"])
+
+    schema = "terms binary, parts binary"
+    table = spark.createDataFrame(rows, schema).unionByName(corpus.select("terms", "parts").mapInArrow(scaled, schema))
+    table = materialize(table, "leak-table")
+    shared.unpersist()
+    return completed(latent_space(table, len(terms), min(RANK, len(parts) + EXTRA)), parts, own)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
