@@ -330,3 +330,71 @@ def test_a_polygon_over_everything_is_cut(spark):
     assert inner.agg(F.sum(F.expr("pow(4, 4 - _level)"))).first()[0] == 14 * 14
     assert out.where("_edges is not null").count() == 60 and inner.count() < 14 * 14
     assert out.where("_edges is not null").agg(F.max(F.size("_edges"))).first()[0] < 4
+
+
+def overlapping_diamonds(n):
+    """Diamonds and points over each other, some with a hole, and by brute force what lies where."""
+    rng = random.Random(11)
+    shapes, pts = [], [(i % 290, round(rng.gauss(0, 1), 3), round(rng.gauss(0, 1), 3)) for i in range(300)]
+    pts += [(None, 0.01, 0.02), (1, None, 0.0), (700, 9.0, 9.0), (701, 0.5, 0.25)]
+    for i in range(n):
+        cx, cy, wx, wy = rng.gauss(0, 1), rng.gauss(0, 1), rng.uniform(0.05, 1.5), rng.uniform(0.05, 1.5)
+        ring = [(cx + wx, cy), (cx, cy + wy), (cx - wx, cy), (cx, cy - wy)]
+        shapes.append((f"d{i}", [ring] + ([[((x - cx) / 2 + cx, (y - cy) / 2 + cy) for x, y in ring]] if i % 4 == 0 else [])))
+    shapes.append(("around", [[(0.0, 0.0), (1.0, 0.0), (1.0, 0.25), (0.0, 0.25)]]))
+
+    def inside(x, y, rings):
+        odd = False
+        for ring in rings:
+            for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]]):
+                if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                    return False
+                odd ^= (y1 > y) != (y2 > y) and x < x1 + (x2 - x1) * ((y - y1) / (y2 - y1))
+        return odd
+
+    return shapes, pts, [(k, a) for k, (_, x, y) in enumerate(pts) for a, rings in shapes if x is not None and inside(x, y, rings)]
+
+
+def test_the_study_area_is_found_without_all_pairs(spark, monkeypatch):
+    shapes, pts, pairs = overlapping_diamonds(60)
+    want_ids = {pts[k][0] for k, _ in pairs} - {None}
+    areas = spark.createDataFrame(shapes, f"area_id string, rings {RING}")
+    df = spark.createDataFrame(pts, "pid int, x double, y double")
+    filed, grid, box = sp.filed_cells(areas, "area_id", "rings")
+    near = filed.join(sp.loads(df.where(box), filed, grid), sp.CELL).agg(F.sum("_n")).first()[0]
+    asked = []
+    meet = sp.matches
+
+    def counted(points, cells, grid, keep, area, *more):
+        asked.append(cells.join(sp.loads(points, cells, grid), sp.CELL).agg(F.sum("_n")).first()[0])
+        return meet(points, cells, grid, keep, area, *more)
+
+    monkeypatch.setattr(sp, "matches", counted)
+    got = sorted((r["pid"], r["x"], r["y"]) for r in sp.inside_study_area(df, areas, "pid", few=24, few_points=1).select("pid", "x", F.coalesce("y", F.lit(0.0)).alias("y")).fillna(0.0).collect())
+    assert got == sorted((i, x or 0.0, y or 0.0) for i, x, y in pts if i in want_ids)
+    # polygons met one by one: far fewer than lie near
+    assert sum(n or 0 for n in asked) < near / 3
+
+
+def test_cells_inside_an_area_add_their_counts(spark, monkeypatch):
+    shapes, pts, pairs = overlapping_diamonds(40)
+    areas = spark.createDataFrame(shapes, f"area_id string, rings {RING}")
+    kinds = ["a", "b", None]
+    df = spark.createDataFrame([(kinds[k % 3], x, y) for k, (_, x, y) in enumerate(pts)], "category string, x double, y double")
+    monkeypatch.setattr(sp, "HEAVY", 40)
+    met = []
+    meet = sp.matches
+
+    def counted(*args):
+        out = meet(*args)
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(sp, "matches", counted)
+    got = sorted(map(tuple, sp.category_vitality(df, areas, {"a": "as", "b": "bs"}, "area_id").collect()))
+    want = {a: [0, 0] for _, a in pairs}
+    for k, a in pairs:
+        if k % 3 < 2:
+            want[a][k % 3] += 1
+    assert got == sorted((a, *n) for a, n in want.items())
+    assert 0 < sum(met) < len(pairs) * 0.6

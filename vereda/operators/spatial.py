@@ -96,25 +96,18 @@ def refined(cells: DataFrame, grid: Grid, area: str, depth: int) -> DataFrame:
 
 
 #: exact tests that a boundary cell may cost before it is cut finer, by how many levels, and how often;
-#: points of a cell that one task looks at, and the number of such parts that are listed at most
-HEAVY, FINER, CUTS, HOT, MOST_HOT = 2_000_000, 4, 4, 1_000_000, 10_000
+#: points of a cell that one task looks at, pairs that it looks at, and the number of such parts that are listed at most
+HEAVY, FINER, CUTS, HOT, PAIRS, MOST_HOT = 4_000, 4, 4, 1_000_000, 20_000_000, 10_000
+#: union of polygons: edges and points of a cell up to which its points are tested, levels that another is cut finer
+#: at a time, and how often
+FEW_EDGES, FEW_POINTS, STEP, STEPS = 256, 4, 2, 8
 
+CELL = ["_level", "_cx", "_cy"]
 
-def points_in_polygons(
-    points: DataFrame, polygons: DataFrame, keep: list[str], area: str = "area_id", rings: str = "rings",
-    heavy: int = HEAVY, hot: int = HOT,
-) -> DataFrame:
-    """``keep`` columns of every point with the ``area`` it lies strictly
-    within; a point in several areas gives several rows.
 
-    Every polygon is filed at the grid level whose cell is at least as large as
-    its box, hence in at most four cells. Where that would cost more than ``heavy``
-    exact tests, the cell is cut into inner cells, whose points match without a test,
-    and boundary cells with only the edges that matter there. A point probes its cell
-    at each level in use. A cell with more than ``hot`` points is met in parts: its
-    points are dealt out and its polygons repeated for each part, so that neither a
-    polygon over everything nor a place with a third of the points is one task's.
-    """
+def filed_cells(polygons: DataFrame, area: str, rings: str) -> tuple[DataFrame, Grid, Column] | None:
+    """(area, _edges, cell): each polygon in the at most four cells of the level whose cells are
+    at least as large as its box; the grid; and whether ``x, y`` is in the box of all. None without polygons."""
     boxed = materialize(
         polygons.select(
             F.col(area), geo.polygon_edges(F.col(rings)).alias("_edges"), geo.box(F.col(rings)).alias("_b")
@@ -129,8 +122,7 @@ def points_in_polygons(
         F.max("_b.y2").alias("y2"),
     ).first()
     if extent["span"] is None:
-        kind = polygons.schema[area].dataType
-        return points.select(*keep, F.lit(None).cast(kind).alias(area)).limit(0)
+        return None
     span = float(extent["span"]) or 1.0
     grid = Grid(extent["x"], extent["y"], span)
 
@@ -145,71 +137,133 @@ def points_in_polygons(
             f"_c{axis}",
             F.explode(F.sequence(_cell(F.col(f"_b.{axis}1"), F.lit(origin), size), _cell(F.col(f"_b.{axis}2"), F.lit(origin), size))),
         )
-    at = ["_level", "_cx", "_cy"]
-    filed = filed.select(area, "_edges", *at)
+    inside = F.col("x").between(extent["x"], extent["x2"]) & F.col("y").between(extent["y"], extent["y2"])
+    return filed.select(area, "_edges", *CELL), grid, inside
 
-    inside = points.where(
-        F.col("x").between(extent["x"], extent["x2"]) & F.col("y").between(extent["y"], extent["y2"])
+
+def probes(points: DataFrame, cells: DataFrame, grid: Grid, *columns: str) -> DataFrame:
+    """Every point with its cell at each level in use."""
+    levels = [r[0] for r in cells.select("_level").distinct().collect()]  # at most DEEPEST + CUTS * FINER numbers
+    at_levels = F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>"))
+    columns = [c for c in dict.fromkeys(columns) if c not in ("x", "y")]
+    return points.select(*columns, "x", "y", at_levels.alias("_level")).select(
+        *columns, "x", "y", "_level", *grid.at(F.col("_level"), F.col("x"), F.col("y"))
     )
 
-    def probes(cells: DataFrame, *columns: str) -> DataFrame:
-        levels = [r[0] for r in cells.select("_level").distinct().collect()]  # at most DEEPEST + CUTS * FINER numbers
-        at_levels = F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>"))
-        return inside.select(*columns, "x", "y", at_levels.alias("_level")).select(
-            *columns, "x", "y", "_level", *grid.at(F.col("_level"), F.col("x"), F.col("y"))
-        )
 
-    def loads(cells: DataFrame) -> DataFrame:
-        """Points in each cell in use; counted before the shuffle."""
-        counts = probes(cells).groupBy(*at).agg(F.count("*").alias("_n"))
-        return materialize(counts.join(cells.select(*at), at, "left_semi"), "loads")
+def loads(points: DataFrame, cells: DataFrame, grid: Grid) -> DataFrame:
+    """Points in each cell in use; counted before the shuffle."""
+    counts = probes(points, cells, grid).groupBy(*CELL).agg(F.count("*").alias("_n"))
+    return materialize(counts.join(cells.select(*CELL), CELL, "left_semi"), "loads")
 
-    load, done, waiting, cuts = None, None, filed, 0
-    while cuts < CUTS:
+
+def cover(points: DataFrame, filed: DataFrame, grid: Grid, area: str, heavy: int) -> DataFrame:
+    """``filed``, cells that cost more than ``heavy`` exact tests cut finer."""
+    done, waiting = None, filed
+    for cut in range(CUTS):
         # costs are looked at only where points can be many
-        load = loads(waiting)
+        load = loads(points, waiting, grid)
         costly = F.coalesce("_n", F.lit(0)) * F.size("_edges") > heavy
-        if cuts == 0 and load.agg(F.max("_n")).first()[0] is None:
+        if cut == 0 and load.agg(F.max("_n")).first()[0] is None:
             break
-        marked = waiting.join(load, at, "left").withColumn("_costly", F.col("_edges").isNotNull() & costly)
-        dense = marked.where("_costly").select(area, "_edges", *at)
+        marked = waiting.join(load, CELL, "left").withColumn("_costly", F.col("_edges").isNotNull() & costly)
+        dense = marked.where("_costly").select(area, "_edges", *CELL)
         if dense.isEmpty():
             break
-        light = marked.where(~F.col("_costly")).select(area, "_edges", *at)
-        light = materialize(light, "cells")
+        light = materialize(marked.where(~F.col("_costly")).select(area, "_edges", *CELL), "cells")
         waiting = materialize(refined(dense, grid, area, FINER), "cells")
         done = light if done is None else done.unionByName(light)
-        cuts += 1
-    cover = waiting if done is None else done.unionByName(waiting)
-    if cuts:
-        load = loads(cover)
-
-    rows = probes(cover, *[c for c in dict.fromkeys(keep) if c not in ("x", "y")])
-    join_on = at
-    total = load.agg(F.sum("_n")).first()[0] or 0
-    part = max(hot, total // MOST_HOT)
-    crowded = load.where(F.col("_n") > part).select(*at, F.ceil(F.col("_n") / part).cast("int").alias("_parts"))
+    return waiting if done is None else done.unionByName(waiting)
+
+
+def matches(points: DataFrame, cells: DataFrame, grid: Grid, keep: list[str], area: str, hot: int = HOT, pairs: int = PAIRS) -> DataFrame:
+    """``keep`` columns of the points and ``area`` of the polygons they lie in, by cells. A cell with more than
+    ``hot`` points or ``pairs`` pairs is met in parts: its points are dealt out and its polygons repeated for each."""
+    rows = probes(points, cells, grid, *keep)
+    load = loads(points, cells, grid).join(cells.groupBy(*CELL).agg(F.count("*").alias("_m")), CELL)
+    load = materialize(load.withColumn("_pairs", F.col("_n") * F.col("_m")), "loads")
+    total = load.agg(F.sum("_n"), F.sum("_pairs")).first()
+    part, most = max(hot, (total[0] or 0) // MOST_HOT), max(pairs, (total[1] or 0) // MOST_HOT)
+    parts = F.greatest(F.ceil(F.col("_n") / part), F.least(F.ceil(F.col("_pairs") / most), F.col("_n")))
+    crowded = load.withColumn("_parts", parts.cast("int")).where("_parts > 1").select(*CELL, "_parts")
+    join_on = CELL
     if not crowded.isEmpty():
-        # at most MOST_HOT rows, so the hint is safe
+        # at most two times MOST_HOT rows, so the hint is safe
         crowded = F.broadcast(materialize(crowded, "crowded"))
-        rows = rows.join(crowded, at, "left").withColumn(
+        rows = rows.join(crowded, CELL, "left").withColumn(
             "_part", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("_parts")).cast("int"), F.lit(0))
         ).drop("_parts")
-        cover = cover.join(crowded, at, "left").withColumn(
+        cells = cells.join(crowded, CELL, "left").withColumn(
             "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
         ).drop("_parts")
-        join_on = [*at, "_part"]
+        join_on = [*CELL, "_part"]
     return (
-        rows.join(cover, join_on)
+        rows.join(cells, join_on)
         .where(F.col("_edges").isNull() | geo.within(F.col("x"), F.col("y"), F.col("_edges")))
         .select(*keep, area)
     )
 
 
-def inside_study_area(points: DataFrame, polygons: DataFrame, id_col: str, rings: str = "rings") -> DataFrame:
-    """Points inside the union of all polygons; nothing is merged."""
-    hits = points_in_polygons(points, polygons, [id_col], rings=rings).select(id_col).distinct()
-    return points.join(hits, id_col, "left_semi")
+def points_in_polygons(
+    points: DataFrame, polygons: DataFrame, keep: list[str], area: str = "area_id", rings: str = "rings",
+    heavy: int = HEAVY, hot: int = HOT,
+) -> DataFrame:
+    """``keep`` columns of every point with the ``area`` it lies strictly
+    within; a point in several areas gives several rows.
+
+    Every polygon is filed at the grid level whose cell is at least as large as
+    its box, hence in at most four cells. Where that would cost more than ``heavy``
+    exact tests, the cell is cut into inner cells, whose points match without a test,
+    and boundary cells with only the edges that matter there. A point probes its cell
+    at each level in use. A cell with more than ``hot`` points, or with very many pairs, is met
+    in parts, so that neither a polygon over everything nor a place with a third of the points is one task's.
+    """
+    found = filed_cells(polygons, area, rings)
+    if found is None:
+        kind = polygons.schema[area].dataType
+        return points.select(*keep, F.lit(None).cast(kind).alias(area)).limit(0)
+    filed, grid, inside = found
+    points = points.where(inside)
+    return matches(points, cover(points, filed, grid, area, heavy), grid, keep, area, hot)
+
+
+def inside_study_area(
+    points: DataFrame, polygons: DataFrame, id_col: str, rings: str = "rings", few: int = FEW_EDGES, few_points: int = FEW_POINTS
+) -> DataFrame:
+    """Points inside the union of all polygons; nothing is merged.
+
+    Positions in a cell that lies in some polygon are in, and no other polygon is asked. Where a cell
+    has at most ``few`` edges or ``few_points`` positions left, these are tested; others are cut finer. So
+    a place that many polygons cover costs a few cells, not all pairs.
+    """
+    area = "area_id"
+    found = filed_cells(polygons, area, rings)
+    if found is None:
+        return points.limit(0)
+    waiting, grid, inside = found
+    spots = materialize(points.where(inside).select("x", "y").distinct(), "spots")
+    hits = None
+    for step in range(STEPS + 1):
+        load = loads(spots, waiting, grid)
+        live = waiting.join(load, CELL)
+        cells = materialize(live.groupBy(*CELL).agg(
+            F.first("_n").alias("_n"), F.max(F.col("_edges").isNull()).alias("_whole"), F.sum(F.size("_edges")).alias("_e")
+        ), "cells")
+        light = (F.col("_e") <= few) | (F.col("_n") <= few_points) | F.lit(step == STEPS)
+        taken = cells.where("_whole").select(*CELL)
+        tested = waiting.join(cells.where(~F.col("_whole") & light).select(*CELL), CELL, "left_semi")
+        new = probes(spots, waiting, grid).join(taken, CELL, "left_semi").select("x", "y").unionByName(
+            matches(spots, tested, grid, ["x", "y"], area).select("x", "y")
+        )
+        new = materialize(new.distinct(), "inside")
+        hits = new if hits is None else hits.unionByName(new)
+        heavy = materialize(waiting.join(cells.where(~F.col("_whole") & ~light).select(*CELL), CELL, "left_semi"), "heavy")
+        if heavy.isEmpty():
+            break
+        spots = materialize(spots.join(new, ["x", "y"], "left_anti"), "spots")
+        waiting = materialize(refined(heavy.select(area, "_edges", *CELL), grid, area, STEP), "cells")
+    ids = points.join(hits, ["x", "y"], "left_semi").select(id_col).distinct()
+    return points.join(ids, id_col, "left_semi")
 
 
 def category_vitality(
@@ -225,10 +279,20 @@ def category_vitality(
     ``categories`` maps a category to its column. Areas without any point are
     left out unless ``keep_empty``.
     """
-    joined = points_in_polygons(pois, polygons, ["category"], area, rings)
-    pivot = joined.groupBy(area).agg(
-        *[F.count_if(F.col("category") == c).alias(name) for c, name in categories.items()]
-    )
+    found = filed_cells(polygons, area, rings)
+    counts = [F.count_if(F.col("category") == c).alias(name) for c, name in categories.items()]
+    if found is None:
+        pivot = polygons.select(area, F.lit(None).cast("string").alias("category")).limit(0).groupBy(area).agg(*counts)
+    else:
+        filed, grid, inside = found
+        pois = pois.where(inside)
+        cells = cover(pois, filed, grid, area, HEAVY)
+        # a cell inside an area adds its counts, whatever its number of points
+        edge, inner = cells.where(F.col("_edges").isNotNull()), cells.where(F.col("_edges").isNull()).select(area, *CELL)
+        tally = probes(pois, inner, grid, "category").groupBy(*CELL).agg(*counts)
+        each = matches(pois, edge, grid, ["category"], area).groupBy(area).agg(*counts)
+        whole = inner.join(materialize(tally, "tally"), CELL).select(area, *categories.values())
+        pivot = each.unionByName(whole).groupBy(area).agg(*[F.sum(n).alias(n) for n in categories.values()])
     if not keep_empty:
         return pivot
     return polygons.select(area).distinct().join(pivot, area, "left").fillna(0, list(categories.values()))
