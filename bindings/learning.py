@@ -58,19 +58,19 @@ def classifier_logistic(spark, sf):
 @catalog.add()
 def classifier_forest(spark, sf):
     train, test = halves(part_training(spark, sf))
-    return md.evaluate(md.area_forest().fit(train), test)
+    return md.evaluate(md.area_forest().fit(md.spread(train)), test)
 
 
 @catalog.add()
 def classifier_boosted(spark, sf):
     train, test = halves(part_training(spark, sf))
-    return md.evaluate(md.boosted().fit(train), test)
+    return md.evaluate(md.boosted().fit(md.spread(train)), test)
 
 
 @catalog.add()
 def feature_importance(spark, sf):
     train, _ = halves(part_training(spark, sf))
-    return md.feature_importance(md.area_forest().fit(train), PART_COLS)
+    return md.feature_importance(md.area_forest().fit(md.spread(train)), PART_COLS)
 
 
 @catalog.add()

@@ -157,3 +157,22 @@ def test_review_job(spark):
     assert {r["lexicon_label"] for r in out.lexicon_counts.collect()} <= {"positive", "negative", "neutral", "not_applicable"}
     assert out.model_counts.first()["model_label"] == "not_installed"
     assert out.ngrams.columns == ["lang", "size", "term", "n", "rank"]
+
+
+def test_training_rows_go_to_all_cores(spark):
+    """One split of training rows is dealt out, whole and the same way each time; a small one is not."""
+    ids = spark.range(4 * md.TASK_ROWS, numPartitions=1).selectExpr("id", "cast(id % 7 as double) as x", "cast(id % 2 as int) as y")
+    train = md.training_frame(ids.unionByName(ids.limit(3).withColumn("id", F.lit(None).cast("long"))), "id", ["x"], "y").coalesce(1)
+    dealt = md.spread(train)
+    assert dealt.rdd.getNumPartitions() == 4
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, train.collect()))
+    assert dealt.collect() == md.spread(train.repartition(3)).collect()
+    assert md.spread(train.limit(100)).rdd.getNumPartitions() == 1
+    assert md.area_forest().getCacheNodeIds()
+
+
+def test_folds_go_side_by_side(spark):
+    import threading
+
+    together = threading.Barrier(3, timeout=30)  # breaks unless three steps run at once
+    assert md.side_by_side(spark, lambda i: (together.wait(), i * i)[1], 3, 3) == [0, 1, 4]
