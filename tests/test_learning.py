@@ -176,3 +176,19 @@ def test_folds_go_side_by_side(spark):
 
     together = threading.Barrier(3, timeout=30)  # breaks unless three steps run at once
     assert md.side_by_side(spark, lambda i: (together.wait(), i * i)[1], 3, 3) == [0, 1, 4]
+
+
+def test_folds_share_one_cut_into_words(spark, monkeypatch):
+    """Texts are cut into words once for all folds, and the folds' metrics are those of models made one by one."""
+    texts = [(i, ("good calm word " if i % 3 else "bad angry word ") * 2 + f"w{i % 5} é_1", int(i % 3 > 0)) for i in range(30)]
+    df = spark.createDataFrame([*texts, (30, " ", 1), (31, None, 0)], "id long, text string, y int")
+    cut = []
+    whole = md.tx.word_tokens
+    monkeypatch.setattr(md.tx, "word_tokens", lambda c: (cut.append(1), whole(c))[1])
+    found = md.text_cross_validate(df, "id", "text", "y", k=2, max_features=8).orderBy("fold").collect()
+    assert len(cut) == 1
+    folds = sm.assign_folds(md.usable_text(df, "text", "y"), "id", "y", 2)
+    for i, row in enumerate(found):
+        model = md.text_classifier(folds.where(F.col("fold") != i), "text", "y", max_features=8)
+        scored = model.transform(folds.where(F.col("fold") == i)).withColumn("y", F.col("y").cast("string"))
+        assert row[1:] == pytest.approx(tuple(ev.macro_metrics(scored, "y", "y_pred").first()))
