@@ -3,6 +3,7 @@
 import datetime as dt
 
 from vereda.operators import graph, quality
+from vereda.session import materialize
 from vereda.sources import runlog
 
 
@@ -25,3 +26,23 @@ def test_metric_names_with_dots(spark):
 def test_forest_of_many_components(spark):
     edges = spark.range(3000).selectExpr("id * 2 as a", "id * 2 + 1 as b", "cast(id % 7 as double) as cost")
     assert graph.spanning_forest(edges).count() == 3000
+
+
+def test_chain_rounds_shrink(spark, monkeypatch):
+    steps = []
+
+    def counted(df, label, *more):
+        out = materialize(df, label, *more)
+        if label == "runs":
+            steps.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "materialize", counted)
+    line = [(i, i + 1, 1.0) for i in range(400)] + [(1000 + i, 1001 + i, 0.5) for i in range(99)] + [(1000, 1099, 0.5)]
+    loop = [(2000, 2001, 1.0), (2001, 2002, 1.0), (2000, 2002, 1.0), (2000, 2003, 4.0), (None, None, 7.0)]
+    out = graph.contract_chains(spark.createDataFrame(line + loop, "a long, b long, length double")).collect()
+    assert sorted(map(tuple, out), key=str) == sorted(
+        [(0, 400, 400.0, 400), (1000, 1000, 50.0, 100), (2000, 2000, 3.0, 3), (2000, 2003, 4.0, 1), (None, None, 7.0, 1)], key=str
+    )
+    # a round takes what is left of the one before
+    assert steps[0] == 505 and sum(steps) < 5 * steps[0] and steps[-1] < 20

@@ -6,6 +6,7 @@ short and a lost executor costs one round at most.
 
 from __future__ import annotations
 
+from itertools import count
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -264,47 +265,52 @@ def contract_chains(pairs: DataFrame) -> DataFrame:
 
     ``pairs(a, b, length)`` is an undirected simple graph. A ring without any
     junction stays as one loop at its smallest node. Parallel results are kept.
-    Edges of a run are labelled by their smallest neighbouring label, which
-    doubles its reach each round through pointer jumping.
+    In a round every edge goes to one of its middle nodes, the one with the smaller
+    digest; a middle node that receives both of its edges makes them one. At least a
+    third of the middle nodes are expected to go each round, and finished edges take no
+    part in the next, so all rounds together move a small multiple of the first.
     """
-    pairs = materialize(
-        pairs.select("a", "b", F.col("length").cast("double").alias("length")), "pairs"
-    )
+    pairs = materialize(pairs.select("a", "b", F.col("length").cast("double").alias("length")), "pairs")
     degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("deg"))
     middle = materialize(degree.where("deg = 2").select("node"), "middle")
-    # half-edges: (edge, end). Passing a middle node leads from one edge to the
-    # other edge there.
-    edge = F.struct("a", "b").alias("edge")
-    ends = pairs.select(edge, F.explode(F.array("a", "b")).alias("node"))
-    via = materialize(ends.join(middle, "node", "left_semi"), "via")
-    links = via.alias("l").join(via.alias("r"), "node").where("l.edge <> r.edge").select(
-        F.col("l.edge").alias("edge"), F.col("r.edge").alias("other")
+    for n in ("a", "b"):
+        mark = middle.select(F.col("node").alias(n), F.lit(True).alias(f"m{n}"))
+        pairs = pairs.join(mark, n, "left").withColumn(f"m{n}", F.coalesce(f"m{n}", F.lit(False)))
+    state = materialize(
+        pairs.select("a", "b", "ma", "mb", "length", F.lit(1).cast("long").alias("hops"), F.least("a", "b").alias("low")), "runs"
     )
-    links = materialize(links, "links")
-    label = materialize(pairs.select(edge).select("edge", F.col("edge").alias("run")), "runs")
-    while True:
-        seen = links.join(label.select(F.col("edge").alias("other"), F.col("run").alias("near")), "other")
-        least = seen.groupBy("edge").agg(F.min("near").alias("near"))
-        lower = label.join(least, "edge", "left").select("edge", F.least("run", F.coalesce("near", "run")).alias("run"), F.col("run").alias("old"))
-        # follow the label of the label: reach doubles per round
-        jump = lower.select(F.col("edge").alias("run"), F.col("run").alias("further"))
-        moved = materialize(
-            lower.join(jump, "run", "left").select("edge", F.least("run", F.coalesce("further", "run")).alias("run"), "old"),
+    # a loop at a middle node is a ring
+    is_open = (F.col("ma") | F.col("mb")) & (F.col("a") != F.col("b"))
+    is_open = F.coalesce(is_open, F.col("ma") | F.col("mb"))
+    done = []
+    for r in count():
+        ended = F.when(F.col("ma") & F.col("mb"), F.col("low"))
+        done.append(state.where(~is_open).select(
+            F.coalesce(ended, F.least("a", "b")).alias("a"), F.coalesce(ended, F.greatest("a", "b")).alias("b"), "length", "hops"
+        ))
+        rest = state.where(is_open)
+        if rest.isEmpty():
+            break
+        digest = lambda n: F.struct(F.xxhash64(F.lit(r), n), n)
+        at_a = F.col("ma") & (~F.col("mb") | (digest("a") < digest("b")))
+        sent = rest.select(
+            F.when(at_a, F.col("a")).otherwise(F.col("b")).alias("at"), F.when(at_a, F.col("b")).otherwise(F.col("a")).alias("to"),
+            F.when(at_a, F.col("mb")).otherwise(F.col("ma")).alias("mto"), "length", "hops", "low",
+        )
+        # at most two rows a node
+        met = sent.groupBy("at").agg(
+            F.count("*").alias("n"), F.min("to").alias("x"), F.max("to").alias("y"), F.count_if("mto").alias("n_middle"),
+            F.min(F.when(F.col("mto"), F.col("to"))).alias("m"), F.sum("length").alias("length"), F.sum("hops").alias("hops"), F.min("low").alias("low"),
+        )
+        both, is_middle = F.col("n") == 2, lambda n: (F.col("n_middle") == 2) | F.col("m").eqNullSafe(F.col(n)) & (F.col("n_middle") > 0)
+        state = materialize(
+            met.select(
+                F.when(both, F.col("x")).otherwise(F.col("at")).alias("a"), F.col("y").alias("b"),
+                F.when(both, is_middle("x")).otherwise(F.lit(True)).alias("ma"), is_middle("y").alias("mb"), "length", "hops", "low",
+            ),
             "runs",
         )
-        changed = not moved.where("run <> old").isEmpty()
-        label = moved.select("edge", "run")
-        if not changed:
-            break
-    runs = pairs.withColumn("edge", edge).join(label, "edge")
-    sums = runs.groupBy("run").agg(F.sum("length").alias("length"), F.count("*").alias("hops"), F.min("a").alias("_low"))
-    # the free ends of a run are its ends at nodes that are not middle nodes
-    free = (
-        runs.select("run", F.explode(F.array("a", "b")).alias("node"))
-        .join(middle, "node", "left_anti")
-        .groupBy("run")
-        .agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    )
-    return sums.join(free, "run", "left").select(
-        F.coalesce("a", "_low").alias("a"), F.coalesce("b", "_low").alias("b"), "length", "hops"
-    )
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
