@@ -1,8 +1,9 @@
 """Row equality, dotted metric names, and forests of many components."""
 
 import datetime as dt
+import random
 
-from vereda.operators import graph, quality
+from vereda.operators import graph, paths, quality
 from vereda.session import materialize
 from vereda.sources import runlog
 
@@ -46,3 +47,22 @@ def test_chain_rounds_shrink(spark, monkeypatch):
     )
     # a round takes what is left of the one before
     assert steps[0] == 505 and sum(steps) < 5 * steps[0] and steps[-1] < 20
+
+
+def test_corridor_stays_near_its_terminals(spark, monkeypatch):
+    r = random.Random(5)
+    pairs = sorted({(r.randrange(60), 1000 + r.randrange(600)) for _ in range(6000)})
+    edges = spark.createDataFrame([(a, b, float(r.randint(1, 50))) for a, b in pairs], "u long, v long, cost double")
+    ends = spark.createDataFrame([(1000 + 7 * i,) for i in range(9)], "node_id long")
+    whole = sorted(map(tuple, graph.steiner_tree(edges, ends).collect()))
+
+    def refused(*_):
+        raise AssertionError("the whole graph was cut into blocks")
+
+    monkeypatch.setattr(paths, "grow_blocks", refused)
+    assert sorted(map(tuple, graph.steiner_tree(edges, ends, block_arcs=500).collect())) == whole
+    arcs = graph.undirected_min(edges)
+    near = graph.meeting_paths(materialize(arcs), ends.withColumnRenamed("node_id", "node"))
+    rows = {x["node"]: tuple(x) for x in near.collect()}
+    full = graph.shortest_paths(graph.both_ways(arcs), ends.withColumnRenamed("node_id", "node"))
+    assert 9 <= len(rows) < 600 and rows.items() <= {x["node"]: tuple(x) for x in full.collect()}.items()

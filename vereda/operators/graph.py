@@ -11,7 +11,7 @@ from itertools import count
 from pyspark.sql import DataFrame, functions as F
 
 from vereda.functions.numeric import clip_below, edge_cost
-from vereda.operators.paths import BLOCK_ARCS, owners, shortest_paths, ways
+from vereda.operators.paths import BLOCK_ARCS, label, owners, shortest_paths, ways
 from vereda.operators.spatial import inside_study_area
 from vereda.session import materialize
 
@@ -201,6 +201,60 @@ def split_terminals(terminals: DataFrame, nodes: DataFrame) -> tuple[DataFrame,
     return distinct.join(there, "node_id", "left_semi"), distinct.join(there, "node_id", "left_anti")
 
 
+#: rounds of hops from the terminals, labels that go to every task, and terminals at most
+HOP_ROUNDS, HOP_LABELS, HOP_TERMINALS = 24, 300_000, 500
+
+
+def meeting_paths(pairs: DataFrame, terminals: DataFrame) -> DataFrame | None:
+    """(node, dist, source, pred, hops) as ``shortest_paths`` gives them, for the nodes
+    around the terminals up to where their territories have met; None if that is
+    far or wide.
+
+    Both ends of a bridge are nearer than half its length, for each is at most the
+    bridge's edge farther off than the other one. So once bridges connect all terminals,
+    nodes beyond half of the longest of them are on no bridge of the tree, nor on a
+    way to one. A round goes one hop from the labels that changed; ``pairs``, a
+    stored table, is only scanned.
+    """
+    kind = pairs.schema["a"].dataType
+    node = F.col("node").cast(kind)
+    fresh = terminals.select(node.alias("node"), label(F.lit(0.0), F.lit(0), node, F.lit(None).cast(kind))).distinct()
+    fresh = labels = materialize(fresh, "near-labels")
+    k, reach = fresh.count(), float("inf")
+    if k > HOP_TERMINALS:
+        return None
+    arcs = both_ways(pairs)
+    near = lambda: F.col("s.dist") <= F.lit(reach)
+    for _ in range(HOP_ROUNDS):
+        front = fresh.where(near())
+        if front.isEmpty():
+            return labels.where(near()).select("node", "s.dist", "s.source", "s.pred", "s.hops")
+        if labels.count() > HOP_LABELS:
+            return None
+        offers = (
+            arcs.join(F.broadcast(front), F.col("u") == F.col("node"))
+            .select(F.col("v").alias("node"), label(F.col("s.dist") + F.col("cost"), F.col("s.hops") + 1, F.col("s.source"), F.col("u")))
+            .where(near()).groupBy("node").agg(F.min("s").alias("offer"))
+        )
+        both = labels.join(offers, "node", "full").select("node", F.least("s", "offer").alias("s"), (F.col("s").isNull() | (F.col("offer") < F.col("s"))).alias("new"))
+        both = materialize(both.withColumn("new", F.coalesce("new", F.lit(False))), "near-labels")
+        labels, fresh = both.select("node", "s"), both.where("new").select("node", "s")
+        if labels.count() > HOP_LABELS:
+            return None
+        side = lambda n: F.broadcast(labels.select(F.col("node").alias(n), F.col("s.dist").alias(f"d{n}"), F.col("s.source").alias(f"s{n}")))
+        met = (
+            pairs.join(side("a"), "a").join(side("b"), "b").where("sa <> sb")
+            .groupBy(F.least("sa", "sb").alias("a"), F.greatest("sa", "sb").alias("b"))
+            .agg(F.min(F.col("da") + F.col("cost") + F.col("db")).alias("cost"))
+        )
+        tree = small_forest(met.collect())  # a row for two terminals
+        if len(tree) == k - 1:
+            # a little more, for sums that differ by rounding
+            reach = min(reach, max(r["cost"] for r in tree) / 2 * (1 + 1e-9))
+            labels = labels.where(near())
+    return None
+
+
 def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost", block_arcs: int = BLOCK_ARCS) -> DataFrame:
     """(a, b, cost): a tree that connects the terminals, at most twice as
     expensive as the best one (Mehlhorn 1988).
@@ -209,7 +263,8 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost", b
     each two neighbouring territories forms a terminal graph; its spanning tree
     is expanded to paths. The paths inside a territory form a tree rooted at its
     terminal, so with the bridges the result is a tree whose leaves are all
-    terminals. ``terminals(node_id)``; those outside the graph are skipped.
+    terminals. ``terminals(node_id)``; those outside the graph are skipped. In a graph
+    of several blocks only the nodes that ``meeting_paths`` needs are visited, if those are few.
     """
     distinct = terminals.select("node_id").distinct()
     pairs = materialize(undirected_min(edges, weight), "pairs")
@@ -222,13 +277,16 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost", b
             raise ValueError("a corridor needs two different terminals")
         raise ValueError("fewer than two terminals lie in the graph")
 
-    paths = shortest_paths(arcs, valid, block_arcs, stored=True)
+    paths = meeting_paths(pairs, valid) if 2 * pairs.count() > block_arcs else None
+    few = paths is not None
+    paths = materialize(paths, "paths") if few else shortest_paths(arcs, valid, block_arcs, stored=True)
     # a node belongs to the terminal its predecessors lead to, which also holds
     # where rounding made two distances equal
     jumps = None if paths.count() <= block_arcs else ancestor_jumps(paths)
     owner = owners(paths) if jumps is None else jumps[-1].select("node", F.col("to").alias("owner"))
     owned = materialize(paths.select("node", "dist").join(owner, "node"), "owned")
-    side = lambda n: owned.select(F.col("node").alias(n), F.col("dist").alias(f"d{n}"), F.col("owner").alias(f"s{n}"))
+    small = F.broadcast if few else lambda df: df
+    side = lambda n: small(owned.select(F.col("node").alias(n), F.col("dist").alias(f"d{n}"), F.col("owner").alias(f"s{n}")))
     through = F.col("da") + F.col("cost") + F.col("db")
     bridges = (
         pairs.join(side("a"), "a")
@@ -248,7 +306,8 @@ def steiner_tree(edges: DataFrame, terminals: DataFrame, weight: str = "cost", b
     inner = ways(paths, ends) if jumps is None else climbed(paths, ends, jumps)
     inner = inner.where(F.col("pred").isNotNull()).select(F.least("node", "pred").alias("a"), F.greatest("node", "pred").alias("b"))
     outer = tree.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return pairs.join(inner.unionByName(outer).distinct(), ["a", "b"], "left_semi").select("a", "b", "cost")
+    on = materialize(inner.unionByName(outer).distinct(), "tree-pairs")
+    return pairs.join(on, ["a", "b"], "left_semi").select("a", "b", "cost")
 
 
 def corridor_edges(edges: DataFrame, tree: DataFrame) -> DataFrame:
