@@ -5,7 +5,7 @@ import random
 
 from vereda.operators import graph, paths, quality
 from vereda.session import materialize
-from vereda.sources import runlog
+from vereda.sources import readers, runlog, writers
 
 
 def test_duplicates_follow_distinct(spark):
@@ -66,3 +66,14 @@ def test_corridor_stays_near_its_terminals(spark, monkeypatch):
     rows = {x["node"]: tuple(x) for x in near.collect()}
     full = graph.shortest_paths(graph.both_ways(arcs), ends.withColumnRenamed("node_id", "node"))
     assert 9 <= len(rows) < 600 and rows.items() <= {x["node"]: tuple(x) for x in full.collect()}.items()
+
+
+def test_csv_pieces_of_few_lines(spark, tmp_path, monkeypatch):
+    r = random.Random(2)
+    texts = ["y" + "".join(r.choice(['a', '"', ",", "\n", "\n\n", "b c"]) for _ in range(r.randint(1, 9))) + "x" for _ in range(60)]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "k string, text string")
+    writers.write_csv(df.repartition(3), str(tmp_path / "csv"))
+    for lines in (1, 2, 5):
+        monkeypatch.setattr(readers, "PIECE_LINES", lines, raising=True)
+        got = readers.read_csv(spark, str(tmp_path / "csv"), "k string, text string")
+        assert sorted(map(tuple, got.collect())) == sorted((str(i), t) for i, t in enumerate(texts))

@@ -17,38 +17,49 @@ NA_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+#: lines of a split that are put in order at once
+PIECE_LINES = 4096
+
 
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """(record): the records of a CSV file or folder without its headers; a quoted field
     may hold line breaks, which become line feeds.
 
-    Files are read in splits, line by line. A line begins a record if the quotes before
-    it, in its own split and in the splits before it, are even in number. Only lines of
+    Files are read in splits, line by line, and splits are cut into pieces of ``PIECE_LINES``
+    lines, which bounds what a task sorts. A line begins a record if the quotes before
+    it, in its own piece and in the pieces before it, are even in number. Only lines of
     records of several lines are moved, to be put together.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("at"), "value",
     )
+    piece = ["file", "split", "piece"]
+    # the id's lower bits number the lines that a task reads
+    lines = lines.withColumn("piece", F.floor(F.col("at") / PIECE_LINES))
     odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
-    in_split = W.partitionBy("file", "split").orderBy("at")
-    earlier = in_split.rowsBetween(W.unboundedPreceding, -1)
-    # one row a split from here on
-    splits = lines.groupBy("file", "split").agg((F.sum(odd) % 2).alias("odd"), F.count("*").alias("n"))
-    before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
-    splits = splits.select("file", "split", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("inside"))
-    placed = lines.join(splits, ["file", "split"]).withColumn(
+    in_piece = W.partitionBy(*piece).orderBy("at")
+    earlier = in_piece.rowsBetween(W.unboundedPreceding, -1)
+    # one row a piece from here on
+    pieces = lines.groupBy(*piece).agg((F.sum(odd) % 2).alias("odd"))
+    in_file = W.partitionBy("file").orderBy("split", "piece")
+    before = in_file.rowsBetween(W.unboundedPreceding, -1)
+    pieces = pieces.select(
+        *piece, (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("inside"),
+        ((F.col("split") == 0) & (F.row_number().over(in_file) == 1)).alias("top"),
+    )
+    placed = lines.join(pieces, piece).withColumn(
         "starts", (F.col("inside") + F.coalesce(F.sum(odd).over(earlier), F.lit(0))) % 2 == 0
     )
     begun = F.max(F.when(F.col("starts"), F.col("at")))
-    placed = placed.withColumn("first", begun.over(in_split.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    # what begins in one split may end in the next ones
-    ends = placed.groupBy("file", "split").agg(F.max("first").alias("last"))
+    placed = placed.withColumn("first", begun.over(in_piece.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    # what begins in one piece may end in the next ones
+    ends = placed.groupBy(*piece).agg(F.max("first").alias("last"))
     carry = F.last("last", ignorenulls=True).over(before)
-    ends = ends.select("file", "split", carry.alias("carried"))
-    placed = placed.join(ends, ["file", "split"]).withColumn("record", F.coalesce("first", "carried"))
-    header = (F.col("split") == 0) & (F.row_number().over(in_split) == 1)
-    follows = F.lead("starts").over(in_split)
+    ends = ends.select(*piece, carry.alias("carried"))
+    placed = placed.join(ends, piece).withColumn("record", F.coalesce("first", "carried"))
+    header = F.col("top") & (F.row_number().over(in_piece) == 1)
+    follows = F.lead("starts").over(in_piece)
     placed = placed.withColumn("header", header).withColumn("alone", F.col("starts") & F.coalesce(follows, F.lit(False)))
     alone = placed.where("alone and not header").select(F.col("value").alias("record"))
     parts = placed.where("not alone").groupBy("file", "record").agg(
