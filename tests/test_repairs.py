@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+from vereda.llm import near_duplicates
 from vereda.operators import graph, paths, quality
 from vereda.session import materialize
 from vereda.sources import readers, runlog, writers
@@ -77,3 +78,23 @@ def test_csv_pieces_of_few_lines(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(readers, "PIECE_LINES", lines, raising=True)
         got = readers.read_csv(spark, str(tmp_path / "csv"), "k string, text string")
         assert sorted(map(tuple, got.collect())) == sorted((str(i), t) for i, t in enumerate(texts))
+
+
+def test_pairs_of_many_bands_meet_once(spark, monkeypatch):
+    r = random.Random(8)
+    rows, sizes = [], []
+    for i in range(12):
+        words = [str(r.randrange(10**6)) for _ in range(200)]
+        other = [f"x{w}" if k % 14 == 7 else w for k, w in enumerate(words)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+
+    def stored(df, label="step", **more):
+        out = materialize(df, label, **more)
+        if label == "near-cells":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_duplicates, "materialize", stored)
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2)
+    # 28 of 227 shingles apart: alike enough for the sketches, but no link
+    assert all(x["kept"] for x in got.collect()) and sizes == [24]

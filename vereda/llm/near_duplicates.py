@@ -102,8 +102,9 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def sketched(docs: DataFrame, width: int) -> DataFrame:
     """``_no_id, _id, _h1, _h2, n_shingles, k1, k2, bands, small`` per row of ``keyed``: set
-    size, two hashes of the whole set, a key per band, and a byte per coordinate."""
-    factors = mixed(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+    size, two hashes of the whole set, a key per band, and a byte per coordinate. A band's
+    key is the bytes of its coordinates and its number, so that ``small`` tells all keys."""
+    places = np.uint64(8) * np.arange(1, ROWS + 1, dtype=np.uint64)
 
     def run(batches):
         for b in slices(batches):
@@ -113,10 +114,11 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
             sizes = np.bincount(owners, minlength=n)
             cells = sketches(values, owners, n)
             keys = set_keys(values, sizes)
+            cells &= np.uint64(255)
             parts = cells[:, : BANDS * ROWS].reshape(n, BANDS, ROWS)
-            bands = mixed((parts * factors).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+            bands = (parts << places).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
             ends = np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)
-            small = [x.tobytes() for x in (cells & np.uint64(255)).astype(np.uint8)]
+            small = [x.tobytes() for x in cells.astype(np.uint8)]
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in KEY), pa.array(sizes.astype(np.int64)), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(bands.reshape(-1).view(np.int64))), pa.array(small, pa.binary())],
@@ -191,6 +193,11 @@ def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.stack([(y == row).sum(1) for row in x])
 
 
+def met_before(x: np.ndarray, y: np.ndarray, band: int) -> np.ndarray:
+    """Which rows of ``y`` share a band before ``band`` with the row ``x``."""
+    return (y[:, : band * ROWS] == x[: band * ROWS]).reshape(len(y), band, ROWS).all(2).any(1)
+
+
 def pivot_pairs(buckets: DataFrame) -> DataFrame:
     """Each member of a bucket with the bucket's pivot, if their components differ."""
     pivots = buckets.groupBy("key").agg(
@@ -253,10 +260,11 @@ def cell_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     """Links across components in all buckets that still have several.
 
     The members outside one component of the bucket meet all members, in cells of
-    at most two times ``CELL`` expected rows. A cell first compares sketches; only
-    those that may be alike get their sets, which then decide each pair exactly. The
-    cell gives out only links that join components: fewer than its rows, however
-    many pairs it holds.
+    at most two times ``CELL`` expected rows. A pair that shares several bands counts
+    in the bucket of the first only. A cell first compares sketches; only those that
+    may be alike get their sets, which then decide each pair exactly. The cell gives
+    out only links that join components: fewer than its rows, however many pairs it
+    holds.
     """
     lead = buckets.groupBy("key").agg(
         F.min(F.struct(F.xxhash64(F.lit("lead"), "node").alias("h"), "component")).alias("p"), F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("m")
@@ -280,6 +288,10 @@ def cell_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
             return x, y, np.zeros((len(x), len(y)), bool)
         ok = (alike(small[x], small[y]) >= LEAST_EQUAL) & (comp[x][:, None] != comp[y][None, :])
         ok &= np.minimum(n[x][:, None], n[y]) * 100 >= np.maximum(n[x][:, None], n[y]) * SIMILARITY
+        band = cell.column("key")[0].as_py() & 255
+        for i in np.flatnonzero(ok.any(1)):
+            j = np.flatnonzero(ok[i])
+            ok[i, j] = ~met_before(small[x[i]], small[y[j]], band)
         return x[ok.any(1)], y[ok.any(0)], ok[ok.any(1)][:, ok.any(0)]
 
     def maybe(batches):
