@@ -277,7 +277,7 @@ def repair(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     task holds one row's text at a time and ``block`` rows' pointers.
     """
     found = materialize(stream(secondary_sorted(rows), block), "repair")
-    audits = spilled_audits(found).select(F.col("key").alias("spilled_key"), F.col("audit").alias("spilled_audit"))
+    audits = materialize(spilled_audits(found), "repair-audits").select(F.col("key").alias("spilled_key"), F.col("audit").alias("spilled_audit"))
     own = found.where("links IS NULL").join(audits, F.col("key").eqNullSafe(F.col("spilled_key")), "left")
     names = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
     return own.select("key", *names, F.when(F.col("block") > 0, F.col("spilled_audit")).otherwise(F.col("audit")).alias("audit"), "repaired_sha256")
