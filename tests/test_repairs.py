@@ -3,7 +3,10 @@
 import datetime as dt
 import random
 
-from vereda.llm import near_duplicates
+import numpy as np
+import pytest
+
+from vereda.llm import near_duplicates, quality as rules
 from vereda.operators import graph, paths, quality
 from vereda.session import materialize
 from vereda.sources import readers, runlog, writers
@@ -98,3 +101,23 @@ def test_pairs_of_many_bands_meet_once(spark, monkeypatch):
     got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2)
     # 28 of 227 shingles apart: alike enough for the sketches, but no link
     assert all(x["kept"] for x in got.collect()) and sizes == [24]
+
+
+def test_quality_query_tells_bytes_apart(spark, tmp_path):
+    plain = "the year 1111 saw a new road to the north and the year 1111 saw it end in the sand of a dry lake for good"
+    texts = [plain] * 40 + [plain.replace("1", "7")] + [plain.replace("t", "T")] * 3 + [plain.replace("t", "Q"), "naïve 日本語 \x00"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {x["doc_id"]: x["log_ppl"] for x in rules.op11_quality_rules(spark, str(tmp_path)).collect()}
+    assert got[0] == got[39] and got[40] > got[0] + 0.01 and abs(got[44] - got[41]) > 0.001
+    model = rules.fit(table, 4, rules.BYTES)
+    for context in (b"the", b"\xe6\x97\xa5", b"q~\x00"):
+        codes = rules.grams([context + b"?"], 4, rules.BYTES)[0][3] & ~np.uint32(255) | np.arange(256, dtype=np.uint32)
+        assert (10 ** model.log10(codes)).sum() == pytest.approx(1.0)
+
+
+def test_quality_counts_in_pieces(spark, monkeypatch):
+    table = spark.createDataFrame([(i, f"{i} and {i * i} words" * 30) for i in range(50)], "doc_id long, text string").coalesce(1)
+    whole = sorted(map(tuple, rules.gram_counts(table, 4, rules.BYTES).collect()))
+    monkeypatch.setattr(rules, "HELD", 100)
+    assert sorted(map(tuple, rules.gram_counts(table, 4, rules.BYTES).collect())) == whole

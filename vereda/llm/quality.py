@@ -1,11 +1,12 @@
 """Quality rules: an n-gram model with modified Kneser-Ney smoothing and, per
 language, a band of perplexities outside which a document is rejected.
 
-Symbols are the UTF-8 bytes in 64 fixed classes, so a model of order 4 has at most
-64 ** 4 n-grams whatever the corpus holds: that bounds each task's counts, the
-shuffle of one row per n-gram and task, and the arrays that are broadcast. All
-texts are counted; counts, discounts, probabilities and back-off weights are Spark
-aggregates and joins; the finished model is sorted arrays of 64-bit hashes.
+Symbols are the UTF-8 bytes, each for itself, or (the operator's default) in 64 fixed
+classes, of which a model of order 4 has at most 64 ** 4 n-grams whatever the corpus
+holds. Of bytes it has as many as the corpus has different sequences of 4 bytes, which
+new texts of the same scripts hardly add to. A task counts in sorted arrays of bounded
+size. All texts are counted; counts, discounts, probabilities and back-off weights are
+Spark aggregates and joins; the finished model is sorted arrays of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -22,9 +23,8 @@ from vereda.session import materialize
 
 catalog = Catalog()
 
-#: n-gram order (2 to 4); bits of a symbol
+#: n-gram order (2 to 4); bits of a class
 ORDER, BITS = 4, 6
-SYMBOLS = 1 << BITS
 #: words of a window that counts as repeated; limits of the base rules
 WINDOW, LEAST_WORDS, REPEATED_PERCENT = 8, 20, 30
 #: half width of a band in robust deviations; step of the histogram of log10 perplexities;
@@ -61,20 +61,33 @@ def _classes() -> np.ndarray:
     return out
 
 
+@dataclass(frozen=True)
+class Alphabet:
+    """The symbol of every byte, from 1, and the bits of a symbol; 0 is the edge of a text."""
+
+    symbols: np.ndarray
+    bits: int
+
+
 CLASSES = _classes()
+CLASSED = Alphabet(CLASSES, BITS)
+#: every byte its own symbol; 0xFE and 0xFF, which UTF-8 never has, share one
+BYTES = Alphabet(np.minimum(np.arange(1, 257), 255).astype(np.uint32), 8)
+#: n-grams that a task holds before it merges or gives out its counts
+HELD = 1 << 22
 IS_MARK = np.isin(np.arange(256), list(MARKS))
 #: bytes that begin a character and are no white space
 COUNTED = np.array([(b & 0xC0) != 0x80 and b not in b" \t\n\v\f\r" for b in range(256)])
 
 
-def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+def grams(texts: list[bytes], order: int = ORDER, alphabet: Alphabet = CLASSED) -> tuple[np.ndarray, np.ndarray]:
     """The n-gram that ends in each byte of each text and in the text's end, as a
     number of ``order`` symbols, and the text of each. Texts begin with edges."""
     gap = bytes(order - 1)
     line = np.frombuffer(gap + b"".join(t + gap for t in texts), np.uint8)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(lengths + order - 1)
-    codes = CLASSES[line]
+    codes = alphabet.symbols[line]
     event = np.ones(len(line), bool)
     event[: order - 1] = False
     for k in range(order - 1):
@@ -83,21 +96,37 @@ def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarra
     codes[: order - 1] = 0
     out = np.zeros(len(line) - order + 1, np.uint32)
     for k in range(order):
-        out = (out << np.uint32(BITS)) | codes[k : k + len(out)]
+        out = (out << np.uint32(alphabet.bits)) | codes[k : k + len(out)]
     return out[event[order - 1 :]], np.repeat(np.arange(len(texts)), lengths + 1)
 
 
-def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """``gram, n`` over all texts: one array of counts a task, one row a gram and task."""
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of counts of equal n-grams, in order."""
+    keys = np.concatenate([k for k, _ in parts])
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], np.concatenate([n for _, n in parts])[order]
+    heads = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint32(1)))
+    return keys[heads], np.add.reduceat(counts, heads)
+
+
+def gram_counts(docs: DataFrame, order: int = ORDER, alphabet: Alphabet = CLASSED) -> DataFrame:
+    """``gram, n`` over all texts: a task gives a row for each of its n-grams, or several
+    if it has more than ``HELD``."""
+
+    def rows(keys, counts):
+        for i in range(0, len(keys), 1 << 20):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + (1 << 20)].astype(np.int64)), pa.array(counts[i : i + (1 << 20)])], names=["gram", "n"])
 
     def run(batches):
-        counts = np.zeros(1 << BITS * order, np.int64)
+        held: list = []
         for b in slices(batches):
-            np.add.at(counts, grams([t or b"" for t in b.column("text").to_pylist()], order)[0], 1)
-        at = np.flatnonzero(counts)
-        for i in range(0, len(at), 1 << 20):
-            part = at[i : i + (1 << 20)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], names=["gram", "n"])
+            held.append(np.unique(grams([t or b"" for t in b.column("text").to_pylist()], order, alphabet)[0], return_counts=True))
+            if sum(len(k) for k, _ in held) > HELD:
+                held = [merged(held)]
+                if 2 * len(held[0][0]) > HELD:
+                    yield from rows(*held.pop())
+        if held:
+            yield from rows(*merged(held))
 
     return raw(docs).select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -117,7 +146,7 @@ def _discount(d: list[float]) -> Column:
     return F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
 
 
-def smoothed(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataFrame]]:
+def smoothed(counts: DataFrame, order: int = ORDER, bits: int = BITS) -> list[tuple[DataFrame, DataFrame]]:
     """From order 1 up: (``gram, p``) and (``context, weight``), all stored.
 
     Below the highest order a gram counts the different symbols before it; grams
@@ -125,22 +154,22 @@ def smoothed(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, Dat
     """
     tables = [counts]
     for k in range(order - 1, 0, -1):
-        gram = F.col("gram").bitwiseAND((1 << BITS * k) - 1)
-        edge = F.shiftright(gram, BITS * (k - 1)) == 0
+        gram = F.col("gram").bitwiseAND((1 << bits * k) - 1)
+        edge = F.shiftright(gram, bits * (k - 1)) == 0
         n = F.when(F.first(edge) & F.lit(k > 1), F.sum("n")).otherwise(F.count(F.lit(1)))
         tables.append(materialize(tables[-1].groupBy(gram.alias("gram")).agg(n.alias("n")), "quality-grams"))
     out: list[tuple[DataFrame, DataFrame]] = []
     for k, table in enumerate(reversed(tables), 1):
         d, n = discounts(table), F.col("n")
-        table = table.withColumn("context", F.shiftright("gram", BITS))
+        table = table.withColumn("context", F.shiftright("gram", bits))
         left = F.sum(F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])) / F.sum("n")
         weights = materialize(table.groupBy("context").agg(F.sum("n").alias("total"), left.alias("weight")), "quality-weights")
         found = table.join(weights, "context").withColumn("own", (n - _discount(d)) / F.col("total"))
         if out:
             below = out[-1][0].select(F.col("gram").alias("rest"), F.col("p").alias("lower"))
-            found = found.withColumn("rest", F.col("gram").bitwiseAND((1 << BITS * (k - 1)) - 1)).join(below, "rest")
+            found = found.withColumn("rest", F.col("gram").bitwiseAND((1 << bits * (k - 1)) - 1)).join(below, "rest")
         else:
-            found = found.withColumn("lower", F.lit(1.0 / SYMBOLS))
+            found = found.withColumn("lower", F.lit(1.0 / (1 << bits)))
         probabilities = materialize(found.select("gram", (F.col("own") + F.col("weight") * F.col("lower")).alias("p")), "quality-model")
         out.append((probabilities, weights.select("context", "weight")))
     return out
@@ -174,32 +203,33 @@ class KneserNey:
 
     grams: list[SortedHashes]
     weights: list[SortedHashes]
+    bits: int = BITS
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
         """Of n-grams of the model's order; unseen ones back off to shorter ones."""
         out = np.zeros(len(codes))
         left = np.arange(len(codes))
         for k in range(len(self.grams), 0, -1):
-            own = codes[left] & np.uint32((1 << BITS * k) - 1)
+            own = codes[left] & np.uint32((1 << self.bits * k) - 1)
             value, found = self.grams[k - 1].find(own)
             out[left[found]] += value[found]
             left, own = left[~found], own[~found]
             if not len(left):
                 return out
-            value, found = self.weights[k - 1].find(own >> np.uint32(BITS))
+            value, found = self.weights[k - 1].find(own >> np.uint32(self.bits))
             out[left[found]] += value[found]
-        out[left] -= np.log10(SYMBOLS)
+        out[left] -= np.log10(1 << self.bits)
         return out
 
 
-def fit(docs: DataFrame, order: int = ORDER) -> KneserNey:
-    """The model of all texts; at most ``64 ** order`` numbers come to the driver."""
-    tables = smoothed(materialize(gram_counts(docs, order), "quality-counts"), order)
+def fit(docs: DataFrame, order: int = ORDER, alphabet: Alphabet = CLASSED) -> KneserNey:
+    """The model of all texts; two numbers of each n-gram and context come to the driver."""
+    tables = smoothed(materialize(gram_counts(docs, order, alphabet), "quality-counts"), order, alphabet.bits)
     arrays = []
     for key, value in (("gram", "p"), ("context", "weight")):
-        at = [t[key == "context"].select(key, F.log10(value).alias("x")).toPandas() for t in tables]
-        arrays.append([SortedHashes.of(x[key].to_numpy(np.int64), x["x"].to_numpy(float)) for x in at])
-    return KneserNey(*arrays)
+        at = (t[key == "context"].select(key, F.log10(value).alias("x")).toArrow() for t in tables)
+        arrays.append([SortedHashes.of(x.column(key).to_numpy(), x.column("x").to_numpy()) for x in at])
+    return KneserNey(*arrays, alphabet.bits)
 
 
 def repeated_lines(text: bytes) -> int:
@@ -227,7 +257,7 @@ def sums_by_text(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(owner, weights=values, minlength=n)
 
 
-def measured(docs: DataFrame, model: KneserNey, order: int = ORDER) -> DataFrame:
+def measured(docs: DataFrame, model: KneserNey, order: int = ORDER, alphabet: Alphabet = CLASSED) -> DataFrame:
     """``doc_id, lang`` and per row the base's counts, its symbols and their log10 probability."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -238,7 +268,7 @@ def measured(docs: DataFrame, model: KneserNey, order: int = ORDER) -> DataFrame
             line = np.frombuffer(b"".join(texts), np.uint8)
             byte_owner = np.repeat(np.arange(size), [len(t) for t in texts])
             n_words, n_repeat = repeated_words(texts)
-            codes, owner = grams(texts, order)
+            codes, owner = grams(texts, order, alphabet)
             logs = sums_by_text(shared.value.log10(codes), owner, size)
             numbers = (
                 n_words,
@@ -283,7 +313,7 @@ def bands(scores: DataFrame, width: float = WIDTH) -> DataFrame:
     ), "quality-bands")
 
 
-def judge(docs: DataFrame, order: int = ORDER, width: float = WIDTH) -> DataFrame:
+def judge(docs: DataFrame, order: int = ORDER, width: float = WIDTH, alphabet: Alphabet = CLASSED) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     kept, log_ppl, lower, upper`` for every row.
 
@@ -294,7 +324,7 @@ def judge(docs: DataFrame, order: int = ORDER, width: float = WIDTH) -> DataFram
     the edge of a band is inside. Windows are compared by 64-bit hashes. An empty table
     gives no rows. Other columns are left behind, so names can't clash.
     """
-    found = measured(docs, fit(docs, order), order)
+    found = measured(docs, fit(docs, order, alphabet), order, alphabet)
     found = found.withColumn("log_ppl", -F.col("log_prob") / F.col("n_events")).withColumn(
         "base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
     )
@@ -308,5 +338,5 @@ def judge(docs: DataFrame, order: int = ORDER, width: float = WIDTH) -> DataFram
 
 @catalog.add()
 def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents under the base rules and the perplexity band of their language."""
-    return judge(documents(spark, sf_dir))
+    """All documents under the base rules and the perplexity band of their language, by bytes."""
+    return judge(documents(spark, sf_dir), alphabet=BYTES)
