@@ -28,6 +28,7 @@ from vereda.operators.quality import drop_blank, drop_missing, require_classes,
 from vereda.operators.sampling import assign_folds, split_stratified
 from vereda.operators.stats import attach_row
 from vereda.operators.tfidf import ROW_GROUP, cut_tokens, known_terms, token_vocabulary
+from vereda.operators.trees import Boosted, Forest
 from vereda.session import materialize
 
 T = TypeVar("T")
@@ -48,7 +49,7 @@ def logistic(rows: int, label: str = "label", features: str = "features") -> Log
 
 def forest(label: str = "label", features: str = "features", trees: int = 100, depth: int = 30, leaf: int = 1) -> RandomForestClassifier:
     """A row's node in every tree is kept, so a level sends no trees and walks none."""
-    return RandomForestClassifier(
+    return Forest(
         labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=SEED,
         cacheNodeIds=True,
     )
@@ -60,7 +61,7 @@ def area_forest(label: str = "label", features: str = "features", trees: int = 3
 
 
 def boosted(label: str = "label", features: str = "features", rounds: int = 250) -> GBTClassifier:
-    return GBTClassifier(
+    return Boosted(
         labelCol=label, featuresCol=features, maxIter=rounds, stepSize=0.05, maxDepth=5,
         featureSubsetStrategy="0.9", subsamplingRate=1.0, seed=SEED,
     )
