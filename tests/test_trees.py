@@ -80,3 +80,22 @@ def test_cuts_lie_between_values():
     assert tr.cuts_of(np.ones(5), 4).tolist() == []
     shares = np.bincount(np.searchsorted(tr.cuts_of(np.arange(1000.0), 32), np.arange(1000.0)))
     assert len(shares) == 32 and shares.max() - shares.min() <= 2
+
+
+def test_models_and_folds_of_a_forest_go_side_by_side(spark, monkeypatch):
+    """Both models of a job are fitted at once, and the folds of a forest that no driver holds."""
+    import threading
+
+    df, together = training(spark), {n: threading.Barrier(n, timeout=60) for n in (2, 3)}
+    monkeypatch.setattr(tr, "FEW_ROWS", 100)
+
+    def meeting(n):
+        class Meeting(tr.Forest):
+            def _fit(self, dataset):
+                together[n].wait()  # breaks unless n fits run at once
+                return super()._fit(dataset)
+
+        return Meeting(labelCol="label", featuresCol="features", numTrees=2, maxDepth=2, seed=1)
+
+    assert list(md.train_all({"a": meeting(2), "b": meeting(2)}, df)) == ["a", "b"]
+    assert sorted(r["fold"] for r in md.cross_validate_f1(meeting(3), df, "id", k=3).collect()) == [0, 1, 2]

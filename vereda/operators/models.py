@@ -28,7 +28,7 @@ from vereda.operators.quality import drop_blank, drop_missing, require_classes,
 from vereda.operators.sampling import assign_folds, split_stratified
 from vereda.operators.stats import attach_row
 from vereda.operators.tfidf import ROW_GROUP, cut_tokens, known_terms, token_vocabulary
-from vereda.operators.trees import Boosted, Forest
+from vereda.operators.trees import Boosted, Forest, in_tasks
 from vereda.session import materialize
 
 T = TypeVar("T")
@@ -114,24 +114,26 @@ def side_by_side(spark: SparkSession, step: Callable[[int], T], k: int, at_once:
 
 
 def train_all(models: dict[str, Estimator], train: DataFrame) -> dict[str, Model]:
-    """Fit several estimators on one stored training set."""
+    """Fit several estimators on one stored training set, side by side."""
     train = spread(materialize(train, "train"))
-    return {name: est.fit(train) for name, est in models.items()}
+    fits = side_by_side(train.sparkSession, lambda i: list(models.values())[i].fit(train), len(models), len(models))
+    return dict(zip(models, fits, strict=True))
 
 
 def cross_validate_f1(
     estimator: Estimator, train: DataFrame, id_col: str, label: str = "label", k: int = 5, seed: int | None = SEED
 ) -> DataFrame:
     """(fold, f1_score) for ``k`` stratified folds. Folds go side by side, for most models
-    take many short jobs; forests one by one, since the driver holds a whole one."""
+    take many short jobs; forests of Spark ML one by one, since the driver holds a whole one."""
     folds = materialize(assign_folds(train, id_col, label, k, seed), "folds")
+    whole = isinstance(estimator, RandomForestClassifier) and not in_tasks(*folds.agg(F.count(F.lit(1)), F.max(F.size(vector_to_array(estimator.getFeaturesCol())))).first())
 
     def judged(i: int) -> tuple[int, float]:
         model = estimator.fit(spread(folds.where(F.col("fold") != i)))
         scored = predictions(model, folds.where(F.col("fold") == i))
         return i, float(ev.binary_metrics(scored, label, "y_pred").first()["f1_score"])
 
-    rows = side_by_side(train.sparkSession, judged, k, 1 if isinstance(estimator, RandomForestClassifier) else k)
+    rows = side_by_side(train.sparkSession, judged, k, 1 if whole else k)
     return train.sparkSession.createDataFrame(rows, "fold int, f1_score double")
 
 
