@@ -556,3 +556,26 @@ def test_pipeline(spark, sf_dir):
         if i < len(corpus_pipeline.STAGES) - 1:
             assert docs.columns == names
     assert docs.select("doc_id").distinct().count() == docs.count()
+
+
+def test_index_is_held_shard_by_shard(spark, monkeypatch):
+    """A row group of the stored index is one shard, so a scan holds one; hits count for a block of queries as terms do."""
+    import glob
+    import random
+
+    import pyarrow.parquet as pq
+
+    from vereda.llm import search
+
+    draw = random.Random(3)
+    texts = [" ".join(f"{draw.getrandbits(64):016x}" for _ in range(40_000)) for _ in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(search, "SHARD_BYTES", 1 << 20)
+    index = search.index_shards(docs)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    assert sum(m.num_rows for m in files) == 5 and all(m.row_group(i).num_rows == 1 for m in files for i in range(m.num_row_groups))
+    asked = spark.range(400).selectExpr("id as no", "array('a') as terms").localCheckpoint()
+    monkeypatch.setattr(search, "QUERY_BYTES", 100_000)
+    assert len(search.query_blocks(asked)) == 5
+    found = search.top_hits(docs.union(docs.limit(0)), docs.where("doc_id = 2"), 2).collect()
+    assert [(r["query_id"], r["rank"], r["doc_id"]) for r in found] == [(2, 1, 2)]
